@@ -22,9 +22,6 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import map_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Texts of more characters than this are encoded match by match, to bound what the encoder holds at once.
-LONG_TEXT = 200_000
-
 
 @lru_cache(maxsize=2)
 def encoding(path: str, pattern: str) -> tiktoken.Encoding:
@@ -53,13 +50,18 @@ def from_visible(token: str) -> bytes:
 
 
 def encode_text(enc: tiktoken.Encoding, text: str) -> list[int]:
-    if len(text) <= LONG_TEXT:
+    """The library's ids. Its splitter overflows its stack on very long runs of white space; such a text is split here by
+    the same pattern, and each match encoded as a piece."""
+    try:
         return enc.encode_ordinary(text)
+    except BaseException as error:  # the library's panic is no Exception
+        if type(error).__name__ != "PanicException":
+            raise
     import regex
 
     out: list[int] = []
     for match in regex.finditer(enc._pat_str, text):
-        out += enc.encode_ordinary(match[0])
+        out += enc._encode_single_piece(match[0].encode())
     return out
 
 

@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe
-from tidemark.llm.common import table
+from tidemark.llm import byte_bpe, packing
+from tidemark.llm.common import Scratch, table
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +19,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
