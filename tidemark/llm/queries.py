@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, packing
+from tidemark.llm import byte_bpe, language_id, packing, quality, url_filter
 from tidemark.llm.common import Scratch, table
 
 
@@ -14,12 +15,31 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, ~language_id.held_out())
+    return language_id.predict(docs, model).select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~quality.held_out(), Scratch(spark))
+    return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), F.col("quality_score").alias("score"), "predicted")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_url_filter": op4_url_filter,
+    "op5_language_id": op5_language_id,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
