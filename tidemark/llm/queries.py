@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, language_id, packing, quality, sharding, url_filter
+from tidemark.llm import byte_bpe, language_id, packing, quality, sharding, simhash, url_filter
 from tidemark.llm.common import Scratch, table
 
 
@@ -35,6 +35,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.compare_with_edits(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op10_k_d_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(table(spark, sf_dir, "documents"), Scratch(spark))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_simhash": op9_simhash,
     "op10_k_d_sharding": op10_k_d_sharding,
 }
 
