@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, language_id, packing, quality, sharding, simhash, url_filter
+from tidemark.llm import byte_bpe, language_id, minhash, packing, quality, sharding, simhash, url_filter
 from tidemark.llm.common import Scratch, table
 
 
@@ -25,6 +25,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark), words=2, percent=80)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~quality.held_out(), Scratch(spark))
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
+    "op6_minhash": op6_minhash,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_simhash": op9_simhash,
