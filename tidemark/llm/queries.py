@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, language_id, minhash, packing, quality, sharding, simhash, url_filter
+from tidemark.llm import byte_bpe, language_id, minhash, packing, quality, sharding, simhash, url_filter, vector_join
 from tidemark.llm.common import Scratch, table
 
 
+def op2_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.link(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), Scratch(spark))
 
@@ -49,6 +53,7 @@ def op10_k_d_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_vector_join": op2_vector_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
