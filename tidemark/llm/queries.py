@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, language_id, minhash, packing, quality, sharding, simhash, url_filter, vector_join
+from tidemark.llm import byte_bpe, language_id, minhash, packing, quality, sharding, simhash, suffix_dedup, url_filter, vector_join
 from tidemark.llm.common import Scratch, table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(table(spark, sf_dir, "documents"), Scratch(spark))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_join.link(table(spark, sf_dir, "embeddings"), Scratch(spark))
 
@@ -53,6 +58,7 @@ def op10_k_d_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_vector_join": op2_vector_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_filter": op4_url_filter,
