@@ -119,17 +119,18 @@ def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "t
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, lang_pred, score), with the columns in keep."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    cols = [id_col, *(c for c in keep if c != id_col)]
+    cols = list(dict.fromkeys([id_col, *keep]))
+    read = list(dict.fromkeys([*cols, text_col]))
     own: list[Predictor] = []
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not own:
             own.append(Predictor(shared.value))
-        found = [own[0].text(x.as_py()) for x in batch.column(0)]
-        return pa.record_batch([*batch.columns[1:], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*cols, "lang_pred", "lang_score"])
+        found = [own[0].text(x.as_py()) for x in batch.column(text_col)]
+        return pa.record_batch([*(batch.column(c) for c in cols), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*cols, "lang_pred", "lang_score"])
 
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
-    return map_batches(df.select(F.col(text_col).alias("_text"), *cols), run, f"{kinds}, lang_pred string, lang_score double")
+    return map_batches(df.select(*read), run, f"{kinds}, lang_pred string, lang_score double")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

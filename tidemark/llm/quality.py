@@ -196,17 +196,18 @@ def features(df: DataFrame, vectors: dict[str, np.ndarray], keep: tuple[str, ...
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, score, predicted), with the columns in keep."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    cols = [id_col, *(c for c in keep if c != id_col)]
+    cols = list(dict.fromkeys([id_col, *keep]))
+    read = list(dict.fromkeys([*cols, text_col]))
     own: list[Pooler] = []
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not own:
             own.append(Pooler(shared.value.words))
-        scores = shared.value.score(np.stack([own[0].text(x.as_py()) for x in batch.column(0)]).astype(float))
-        return pa.record_batch([*batch.columns[1:], pa.array(scores, pa.float64()), pa.array((scores >= THRESHOLD).astype(np.int32))], names=[*cols, "quality_score", "predicted"])
+        scores = shared.value.score(np.stack([own[0].text(x.as_py()) for x in batch.column(text_col)]).astype(float))
+        return pa.record_batch([*(batch.column(c) for c in cols), pa.array(scores, pa.float64()), pa.array((scores >= THRESHOLD).astype(np.int32))], names=[*cols, "quality_score", "predicted"])
 
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
-    return map_batches(df.select(F.col(text_col).alias("_text"), *cols), run, f"{kinds}, quality_score double, predicted int")
+    return map_batches(df.select(*read), run, f"{kinds}, quality_score double, predicted int")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

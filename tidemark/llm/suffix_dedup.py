@@ -250,8 +250,22 @@ def _kept(raw: bytes, runs: list[dict]) -> tuple[bytes, list[tuple[int, int]]]:
     return b"".join([*out, raw[at:]]), [tuple(s) for s in spans]
 
 
+def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> str:
+    """The text without the spans, each drawn in to whole characters: one of which any byte stays, stays."""
+    out, at = [], 0
+    for a, b in spans:
+        while a < b and raw[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b -= 1
+        out.append(raw[at:a])
+        at = max(at, b)
+    return b"".join([*out, raw[at:]]).decode()
+
+
 def dedup(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept bytes, spans) of every row, with the columns in keep."""
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept, spans) of every row, with the columns in keep. kept is the text that
+    is left, spans drawn in to whole characters; the counts and the checksum are of bytes."""
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     docs = df.select(F.col(id_col).cast("long").alias("id"), raw.alias("raw"), *(F.col(c).alias(f"keep_{c}") for c in keep))
     hashed = docs.select("id", "raw", F.octet_length("raw").alias("n"), F.xxhash64("raw").alias("h"), F.xxhash64(F.lit(1), "raw").alias("g")).where(F.col("n") >= LENGTH)
@@ -266,10 +280,10 @@ def dedup(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
         columns: list[list] = [[], [], [], [], [], []]
         for raw, runs in zip(batch.column("raw").to_pylist(), batch.column("runs").to_pylist(), strict=True):
             kept, spans = _kept(raw, runs or [])
-            for c, v in zip(columns, (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept, [{"start": a, "stop": b} for a, b in spans]), strict=True):
+            for c, v in zip(columns, (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), whole_characters(raw, spans), [{"start": a, "stop": b} for a, b in spans]), strict=True):
                 c.append(v)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))]
         return pa.record_batch([batch.column("id"), *(batch.column(f"keep_{c}") for c in keep), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[id_col, *keep, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
 
     kinds = "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return map_batches(docs.join(runs, "id", "left"), run, f"`{id_col}` long{kinds}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start:long,stop:long>>")
+    return map_batches(docs.join(runs, "id", "left"), run, f"`{id_col}` long{kinds}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, spans array<struct<start:long,stop:long>>")
