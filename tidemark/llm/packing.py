@@ -38,39 +38,58 @@ FAN_IN = 16
 #: Items that one partition packs at a time.
 GROUP = 200_000
 #: Chunks of text whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
+SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 
 
-@lru_cache(maxsize=1)
-def tokenizer(path: str):
+@lru_cache(maxsize=4)
+def tokenizer(path: str, special: bool = False):
+    """special: whether the special tokens' strings in a text stand for the tokens; else they are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     out = Tokenizer.from_file(path)
-    out.encode_special_tokens = True
+    out.encode_special_tokens = not special
     return out
 
 
 class Ids:
     """Ids of texts as little-endian bytes. No token of this vocabulary spans white space, so each chunk between ASCII
-    white space is encoded by itself and remembered."""
+    white space is encoded by itself and remembered; chunks seen lately outlive a full memory."""
 
     def __init__(self, path: str):
-        self.path, self.known = path, {}
+        self.path, self.known, self.older = path, {}, {}
 
     def of(self, texts: list[str]) -> list[bytes]:
-        known, chunks = self.known, [x.encode().split() for x in texts]
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = {c for row in chunks for c in row if c not in known}
+        chunks = [x.encode().split() for x in texts]
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, new = self.known, []
+        for c in set().union(*chunks) - known.keys():
+            if (ids := self.older.get(c)) is not None:
+                known[c] = ids
+            else:
+                new.append(c)
         if new:
-            new = list(new)
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                for c, e in zip(part, tokenizer(self.path).encode_batch_fast([c.decode() for c in part], add_special_tokens=False), strict=True):
-                    known[c] = np.array(e.ids, "<u4").tobytes()
+            known.update(self._encoded(new))
         return [b"".join(map(known.__getitem__, row)) for row in chunks]
 
+    def _encoded(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """Many chunks at a call, parted by a special token, at which the tokenizer parts texts before anything else."""
+        plain, out = [c for c in chunks if b"<|" not in c], {}
+        lists = [plain[i : i + 1000] for i in range(0, len(plain), 1000)]
+        for part, e in zip(lists, tokenizer(self.path, True).encode_batch_fast([SEPARATOR.join(c.decode() for c in part) for part in lists], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            raw, ends = ids.tobytes(), [*(4 * np.flatnonzero(ids == SEPARATOR_ID)).tolist(), 4 * len(ids)]
+            at = 0
+            for c, end in zip(part, ends, strict=True):
+                out[c] = raw[at:end]
+                at = end + 4
+        for c in chunks:
+            if c not in out:
+                out[c] = np.array(tokenizer(self.path).encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        return out
+
 
 @lru_cache(maxsize=1)
 def ids(path: str) -> Ids:
