@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql.types import StructType
 
+from tidemark.functions.schema import struct
 from tidemark.operators.rules import Rule, blank, not_in
 
 # fixed values: operations, and the values that the source allows
@@ -57,7 +58,7 @@ CUSTOMERS = EntitySpec(
     key="customer_id",
     topic_setting="customers_topic",
     snapshot_folder="customer",
-    record_schema=StructType.fromDDL("customer_id bigint, first_name string, last_name string, email string, phone_number string, date_of_birth bigint, status string, segment string, created_at string, updated_at string"),
+    record_schema=struct("customer_id bigint, first_name string, last_name string, email string, phone_number string, date_of_birth bigint, status string, segment string, created_at string, updated_at string"),
     event_columns={
         "customer_id": "r.customer_id", "first_name": "r.first_name", "last_name": "r.last_name", "email": "r.email", "phone_number": "r.phone_number",
         # days since 1970; what doesn't fit is null rather than an error that would stop the batch
@@ -65,7 +66,7 @@ CUSTOMERS = EntitySpec(
     },
     cdc_rules=cdc_rules("customer_id"),
     business_rules=_customer_rules("current_date()"),
-    snapshot_schema=StructType.fromDDL("customer_id bigint, first_name string, last_name string, email string, phone_number string, date_of_birth date, status string, segment string, created_at timestamp, updated_at timestamp"),
+    snapshot_schema=struct("customer_id bigint, first_name string, last_name string, email string, phone_number string, date_of_birth date, status string, segment string, created_at timestamp, updated_at timestamp"),
     snapshot_rules=lambda as_of: (Rule("MISSING_CUSTOMER_ID", "customer_id IS NULL"), *_customer_rules(f"to_date('{as_of}')")),
     checksum=("CAST(customer_id AS STRING)", "trim(first_name)", "trim(last_name)", "lower(trim(email))", "trim(phone_number)", "date_format(date_of_birth, 'yyyy-MM-dd')", "upper(trim(status))", "upper(trim(segment))", _second("updated_at")),
     compare=("first_name", "last_name", "email", "phone_number", "date_of_birth", "status", "segment", "updated_at"),
@@ -85,11 +86,11 @@ ADDRESSES = EntitySpec(
     key="address_id",
     topic_setting="customer_addresses_topic",
     snapshot_folder="customer_addresses",
-    record_schema=StructType.fromDDL(f"address_id bigint, customer_id bigint, {', '.join(f'{c} string' for c in _ADDRESS_TEXT)}, is_primary boolean, created_at string, updated_at string"),
+    record_schema=struct(f"address_id bigint, customer_id bigint, {', '.join(f'{c} string' for c in _ADDRESS_TEXT)}, is_primary boolean, created_at string, updated_at string"),
     event_columns={c: f"r.{c}" for c in ("address_id", "customer_id", *_ADDRESS_TEXT, "is_primary")} | {c: _instant(c) for c in ("created_at", "updated_at")},
     cdc_rules=cdc_rules("address_id"),
     business_rules=_address_rules("address_type"),
-    snapshot_schema=StructType.fromDDL(f"address_id bigint, customer_id bigint, {', '.join(f'{c} string' for c in _ADDRESS_TEXT)}, is_primary string, created_at timestamp, updated_at timestamp"),
+    snapshot_schema=struct(f"address_id bigint, customer_id bigint, {', '.join(f'{c} string' for c in _ADDRESS_TEXT)}, is_primary string, created_at timestamp, updated_at timestamp"),
     # a snapshot's type may be spaced and in any case, an event's may not
     snapshot_rules=lambda as_of: (Rule("MISSING_ADDRESS_ID", "address_id IS NULL"), *_address_rules("upper(trim(address_type))")),
     checksum=("CAST(address_id AS STRING)", "CAST(customer_id AS STRING)", "upper(trim(address_type))", "trim(address_line_1)", "trim(address_line_2)", "trim(city)", "trim(state)", "trim(postal_code)", "upper(trim(country))", "CAST(is_primary AS STRING)", _second("updated_at")),
@@ -104,11 +105,11 @@ CONSENTS = EntitySpec(
     key="consent_id",
     topic_setting="customer_consents_topic",
     snapshot_folder="customer_consents",
-    record_schema=StructType.fromDDL("consent_id bigint, customer_id bigint, consent_type string, granted boolean, created_at string, updated_at string"),
+    record_schema=struct("consent_id bigint, customer_id bigint, consent_type string, granted boolean, created_at string, updated_at string"),
     event_columns={c: f"r.{c}" for c in ("consent_id", "customer_id", "consent_type", "granted")} | {c: _instant(c) for c in ("created_at", "updated_at")},
     cdc_rules=cdc_rules("consent_id"),
     business_rules=_consent_rules,
-    snapshot_schema=StructType.fromDDL("consent_id bigint, customer_id bigint, consent_type string, granted string, created_at timestamp, updated_at timestamp"),
+    snapshot_schema=struct("consent_id bigint, customer_id bigint, consent_type string, granted string, created_at timestamp, updated_at timestamp"),
     snapshot_rules=lambda as_of: (Rule("MISSING_CONSENT_ID", "consent_id IS NULL"), *_consent_rules),
     checksum=("CAST(consent_id AS STRING)", "CAST(customer_id AS STRING)", "upper(trim(consent_type))", "CAST(granted AS STRING)", _second("updated_at")),
     compare=("customer_id", "consent_type", "granted", "updated_at"),

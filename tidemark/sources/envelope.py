@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.schema import struct
+
 # fixed values: the envelope's fields
-SOURCE_FIELDS = "version string, connector string, name string, ts_ms bigint, snapshot string, db string, sequence string, ts_us bigint, ts_ns bigint, `schema` string, `table` string, txId bigint, lsn bigint, xmin bigint"
+SOURCE_FIELDS = "version string, connector string, name string, ts_ms bigint, snapshot string, db string, sequence string, ts_us bigint, ts_ns bigint, schema string, table string, txId bigint, lsn bigint, xmin bigint"
 EVENT_META = ("cdc_timestamp", "source_timestamp", "cdc_operation", "source_lsn", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "is_tombstone", "ingested_at")
 
 
 def envelope_schema(record: StructType) -> StructType:
-    payload = StructType().add("before", record).add("after", record).add("source", StructType.fromDDL(SOURCE_FIELDS)).add("op", "string")
+    payload = StructType().add("before", record).add("after", record).add("source", struct(SOURCE_FIELDS)).add("op", "string")
     for name in ("ts_ms", "ts_us", "ts_ns"):
         payload = payload.add(name, "long")
     return StructType().add("payload", payload)

@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -30,6 +31,15 @@ class DuplicateSourceKey(ValueError):
     """Several source rows match on one key."""
 
 
+def _observed(seen: Observation, again: DataFrame) -> dict[str, int]:
+    """What was observed while rows were written. A plan that turns out empty at run time is cut down with its observation; the same counts are then taken from
+    ``again``, one row."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return again.first().asDict()
+
+
 @dataclass(frozen=True)
 class MergeCounts:
     num_inserted_rows: int = 0
@@ -133,7 +143,8 @@ class VersionedTable:
         if self.exists():
             fresh = df.join(self.read().select(*on), list(on), "left_anti").select(*df.columns)
         self.append(fresh.observe(seen, F.count(F.lit(1)).alias("n")))
-        return seen.get["n"]
+        # the table of ``fresh`` is the version read above, so a second count sees the same rows
+        return _observed(seen, fresh.agg(F.count(F.lit(1)).alias("n")))["n"]
 
     def merge(self, source: DataFrame, on: Sequence[str], update: str | None = None, delete: str | None = None, insert: str | None = None) -> MergeCounts:
         """Conditions are SQL over s.* and t.*; the first that holds of update and delete counts for a matched row, insert for an unmatched one.
@@ -160,8 +171,11 @@ class VersionedTable:
         )
         new = F.col("_action").isin("update", "insert")
         seen = Observation()
-        rows = both.withColumn("_action", action).observe(seen, *(F.count_if(F.col("_action") == a).alias(a) for a in ("insert", "update", "delete")))
+        counts = [F.count_if(F.col("_action") == a).alias(a) for a in ("insert", "update", "delete")]
+        acted = both.withColumn("_action", action)
+        rows = acted.observe(seen, *counts)
         out = rows.where(F.col("_action").isin("keep", "update", "insert")).select(*(F.when(new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in schema.names))
         parts = self._write(out)
         self._commit(m.version if m else 0, schema, [*kept, *parts])
-        return MergeCounts(seen.get["insert"], seen.get["update"], seen.get["delete"])
+        done = _observed(seen, acted.agg(*counts))
+        return MergeCounts(done["insert"], done["update"], done["delete"])
