@@ -64,13 +64,13 @@ def k_d_tree(points: DataFrame, shards: int) -> list[dict]:
     nodes, fresh = {0: shards}, 1
     while any(k > 1 for k in nodes.values()):
         at = assigned(points, splits)
-        of = {r["node"]: r for r in at.where(F.col("node").isin([n for n, k in nodes.items() if k > 1])).groupBy("node").agg(F.sum("weight").alias("w"), *(f(d).alias(f"{n}_{d}") for d in DIMENSIONS for n, f in (("lo", F.min), ("hi", F.max)))).collect()}
+        of = {r["node"]: r for r in at.where(F.col("node").isin([n for n, k in nodes.items() if k > 1])).groupBy("node").agg(F.sum("weight").alias("w"), F.count("*").alias("n"), *(f(d).alias(f"{n}_{d}") for d in DIMENSIONS for n, f in (("lo", F.min), ("hi", F.max)))).collect()}
         level = []
         for n, k in sorted(nodes.items()):
             if k > 1:
                 r = of.get(n)
                 dim = max(DIMENSIONS, key=lambda d: (r[f"hi_{d}"] - r[f"lo_{d}"]) / width[d]) if r else DIMENSIONS[0]
-                level.append({"node": n, "dim": dim, "want": (r["w"] if r else 0) * (k // 2) / k, "left": fresh, "right": fresh + 1, "from": 0, "below": 0.0, "shards": (k // 2, k - k // 2)})
+                level.append({"node": n, "dim": dim, "want": (r["w"] if r else 0) * (k // 2) / k, "left": fresh, "right": fresh + 1, "from": 0, "below": 0.0, "before": 0, "n": r["n"] if r else 0, "shards": k})
                 fresh += 2
         key = F.lit(None).cast("long")
         for s in level:
@@ -80,22 +80,30 @@ def k_d_tree(points: DataFrame, shards: int) -> list[dict]:
             inside = F.lit(False)
             for s in level:
                 inside = F.when(F.col("node") == s["node"], F.shiftright("key", shift + DIGIT_BITS) == (s["from"] >> (shift + DIGIT_BITS))).otherwise(inside)
-            counts: dict[int, list[tuple[int, int]]] = {}
-            for r in keyed.where(inside).groupBy("node", F.shiftright("key", shift).bitwiseAND(DIGIT - 1).alias("digit")).agg(F.sum("weight").alias("w")).orderBy("node", "digit").collect():
-                counts.setdefault(r["node"], []).append((r["digit"], r["w"]))
+            counts: dict[int, list[tuple[int, int, int]]] = {}
+            for r in keyed.where(inside).groupBy("node", F.shiftright("key", shift).bitwiseAND(DIGIT - 1).alias("digit")).agg(F.sum("weight").alias("w"), F.count("*").alias("n")).orderBy("node", "digit").collect():
+                counts.setdefault(r["node"], []).append((r["digit"], r["w"], r["n"]))
             for s in level:
                 # the digit in which the wanted weight is passed; on the last digit, the nearer of its two ends
-                for digit, w in counts.get(s["node"], []):
+                for digit, w, n in counts.get(s["node"], []):
                     here = s["from"] + (digit << shift)
                     if s["below"] + w > s["want"]:
-                        s["cut"] = here if shift or s["want"] - s["below"] <= s["below"] + w - s["want"] else here + 1
+                        after = not shift and s["want"] - s["below"] > s["below"] + w - s["want"]
+                        s["cut"] = here + after
+                        s["before"] += n * after
                         s["next"] = here
                         break
                     s["below"] += w
+                    s["before"] += n
                     s["cut"] = s["next"] = here + (1 << shift)
                 s["from"] = s.pop("next", s["from"])
         splits += [{"node": s["node"], "dim": s["dim"], "cut": s.get("cut", 0), "left": s["left"], "right": s["right"]} for s in level]
-        nodes = {n: k for n, k in nodes.items() if k == 1} | {s[side]: s["shards"][i] for s in level for i, side in enumerate(("left", "right"))}
+        # a side of few points, such as one long text, takes no more shards than points, and the other side the rest
+        nodes = {n: k for n, k in nodes.items() if k == 1}
+        for s in level:
+            k = s["shards"]
+            left = max(1, min(k // 2, s["before"])) if s["before"] <= k // 2 else k - max(1, min(k - k // 2, s["n"] - s["before"]))
+            nodes |= {s["left"]: left, s["right"]: k - left}
     return splits
 
 
