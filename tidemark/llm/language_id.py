@@ -48,7 +48,7 @@ class Model:
         for size in range(1, MAX_N + 1):
             grams: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n))
             for w in kept:
-                padded = f" {w} "
+                padded = f" {w} " if size > 1 else w
                 for i in range(len(padded) - size + 1):
                     grams[padded[i : i + size]] += by_word[w]
             top = sorted(grams, key=lambda g: (-grams[g].sum(), g))[:MAX_GRAMS]
@@ -65,9 +65,8 @@ class Model:
     def word(self, w: str) -> np.ndarray:
         if (known := self.words.get(w)) is not None:
             return known
-        padded = f" {w} "
         for size in range(MAX_N, 0, -1):
-            table = self.grams[size - 1]
+            padded, table = f" {w} " if size > 1 else w, self.grams[size - 1]
             if hits := [x for i in range(len(padded) - size + 1) if (x := table.get(padded[i : i + size])) is not None]:
                 return sum(hits) / len(hits)
         return np.zeros(len(self.languages))

@@ -10,7 +10,7 @@ component, and only documents of different components that share a key are compa
 all pairs and yet no link between different components is missed.
 
 Null and empty texts and texts without words have an empty set and link with nothing. Ids that repeat with equal rows are
-one document. Empty tables give no rows. Further columns are ignored.
+one document. A row without an id belongs to the class of an equal set but is never kept. Empty tables give no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -152,7 +152,7 @@ def near_duplicates(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     """(id, n_shingles, component_id, kept) of every row: component_id is the smallest id reachable over links of at least ``percent`` per cent similarity."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = scratch.cut(_signed(df, id_col, text_col, words))
-    sets = scratch.cut(signed.where("sig IS NOT NULL").groupBy("n", "sum", "xor", "sig").agg(F.min("id").alias("id")))
+    sets = scratch.cut(signed.where("sig IS NOT NULL AND id IS NOT NULL").groupBy("n", "sum", "xor", "sig").agg(F.min("id").alias("id")))
     keys = _keys(sets)
     # first, each key's smallest id against the others; keys of one document only are left out early
     centres = scratch.cut(keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a"))
@@ -173,4 +173,4 @@ def near_duplicates(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         found = scratch.cut(components(links.unionByName(more), scratch).withColumnRenamed("node", "id"))
     classes = scratch.cut(sets.select("n", "sum", "xor", "id").join(found, "id", "left").select("n", "sum", "xor", F.coalesce("component", "id").alias("component_id")))
     out = signed.select("id", "n", "sum", "xor").join(classes, ["n", "sum", "xor"], "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))

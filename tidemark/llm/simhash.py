@@ -8,7 +8,7 @@ Search: bits fall into radius + 1 blocks; two fingerprints within the radius agr
 block, keyed by it, is joined with itself and candidates are checked in full, so that no pair is missed. Equal fingerprints
 are searched once, with their number.
 
-Null text counts as empty. Equal texts have equal fingerprints. Empty tables give no rows. Rows of one id are ordered by
+Null text counts as empty. Equal texts have equal fingerprints. Rows without an id have no next document and are left out. Empty tables give no rows. Rows of one id are ordered by
 their text's hash; rows equal in both count once. Further columns are ignored.
 """
 
@@ -107,7 +107,7 @@ def compare_with_edits(df: DataFrame, scratch: Scratch, id_col: str = "doc_id",
 
     The edited text is the text with its last quarter of code points replaced by as many first ones of the next document's."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    docs = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     order = scratch.cut(following(docs.select("id", "tie", F.char_length("text").cast("long").alias("n")).distinct(), scratch))
     # each row learns how many of its first characters the one before asks for, and sends them there
     asked = docs.join(order, ["id", "tie"])

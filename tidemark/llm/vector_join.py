@@ -8,7 +8,7 @@ in blocks of bounded size on either side, each pair of blocks by one matrix prod
 A block gives each vector its number of links and a spanning forest of them, never the links themselves, so a dense cluster costs
 rows, not pairs. Equal vectors are compared once, with their number.
 
-Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of different lengths never link.
+Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of different lengths never link. A vector without an id links with nothing and is never kept.
 Repeated rows count as separate vectors. An empty table gives no rows. Further columns are ignored.
 """
 
@@ -72,7 +72,7 @@ def _units(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         ids, units = [], []
         for i, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             x = v.values.to_numpy(zero_copy_only=False).astype(np.float64) if v.is_valid and len(v.values) else np.zeros(0)
-            if len(x) and np.isfinite(x).all() and (most := np.abs(x).max()) > 0:
+            if i is not None and len(x) and np.isfinite(x).all() and (most := np.abs(x).max()) > 0:
                 x = x / most
                 ids.append(i)
                 units.append((x / np.linalg.norm(x)).tobytes())
@@ -212,4 +212,4 @@ def link(df: DataFrame, scratch: Scratch, id_col: str = "vec_id", vector_col: st
     linked = scratch.cut(units.select("id", "h", "g").join(each, ["h", "g"]).groupBy("id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id")))
     rows = df.select(F.col(id_col).cast("long").alias("id")).join(linked, "id", "left")
     component = F.coalesce("component_id", "id")
-    return rows.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (component == F.col("id")).alias("kept"))
+    return rows.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
