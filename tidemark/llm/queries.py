@@ -70,4 +70,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_k_d_sharding": op10_k_d_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+#: Smallest id reachable over links (a, b) in both directions, for ids that have any.
+REACH = "reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a), least AS (SELECT a AS id, least(a, min(b)) AS c FROM reach GROUP BY a)"
+
+ORACLES: dict[str, str] = {
+    "op2_vector_join": f"""WITH RECURSIVE v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        good AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(e, e) > 0),
+        link AS (SELECT p.id AS a, q.id AS b FROM good p JOIN good q ON p.id <> q.id AND len(p.e) = len(q.e) AND list_cosine_similarity(p.e, q.e) >= 0.95), {REACH},
+        n AS (SELECT a AS id, count(*) AS n FROM link GROUP BY a)
+        SELECT v.id AS vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(least.c, v.id) AS component_id, coalesce(least.c, v.id) = v.id AS kept FROM v LEFT JOIN n USING (id) LEFT JOIN least USING (id)""",
+    "op6_minhash": f"""WITH RECURSIVE w AS (SELECT doc_id AS id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT DISTINCT id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s FROM (SELECT id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0)),
+        n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+        both_sides AS (SELECT p.id AS a, q.id AS b, count(*) AS m FROM s p JOIN s q ON p.s = q.s AND p.id <> q.id GROUP BY 1, 2),
+        link AS (SELECT a, b FROM both_sides JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * m >= 80 * (x.n + y.n - m)), {REACH}
+        SELECT w.id AS doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(least.c, w.id) AS component_id, coalesce(least.c, w.id) = w.id AS kept FROM w LEFT JOIN n USING (id) LEFT JOIN least USING (id)""",
+}
