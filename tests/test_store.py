@@ -46,6 +46,8 @@ def test_repeated_source_keys_are_an_error_and_null_keys_never_match(spark, tmp_
         t.merge(frame(spark, (1, "x", "u"), (1, "y", "u")), ["k"], **CLAUSES)
     assert t.merge(frame(spark, (None, "m", "u"), (None, "o", "u")), ["k"], **CLAUSES).num_inserted_rows == 2
     assert t.insert_absent(frame(spark, (1, "z", "u"), (None, "q", "u")), ["k"]) == 1
+    assert t.insert_absent(frame(spark, (1, "z", "u"), (8, "q", "u")), ["k"], within="k") == 1
+    assert t.insert_absent(frame(spark, (None, "z", "u")), ["k"], within="k") == 1
 
 
 def test_appends_copy_nothing_and_one_writer_wins(spark, tmp_path):

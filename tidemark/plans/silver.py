@@ -46,7 +46,7 @@ def tagged(found: DataFrame, spec: EntitySpec) -> DataFrame:
 
 def write_events(table: VersionedTable, df: DataFrame) -> int:
     """Adds the events that the table doesn't hold, by identity."""
-    return table.insert_absent(df, ordering.IDENTITY)
+    return table.insert_absent(df, ordering.IDENTITY, within="kafka_offset")
 
 
 def apply_canonical(table: VersionedTable, accepted: DataFrame, key: str, history: DataFrame | None = None) -> MergeCounts:

@@ -136,12 +136,19 @@ class VersionedTable:
         schema = StructType.fromJson(m.schema)
         return self._commit(m.version, schema, [*m.parts, *self._write(df.select(*schema.names))])
 
-    def insert_absent(self, df: DataFrame, on: Sequence[str]) -> int:
-        """Appends the rows whose key no row of the table has; a null in the key equals nothing, so such rows are always appended. Returns their number."""
+    def insert_absent(self, df: DataFrame, on: Sequence[str], within: str | None = None) -> int:
+        """Appends the rows whose key no row of the table has; a null in the key equals nothing, so such rows are always appended. Returns their number.
+
+        within: a column of the key whose values in a batch lie close together. Its least and greatest there are fetched first, so that the table's
+        scan can leave out files and row groups beyond them."""
         seen = Observation()
         fresh = df
         if self.exists():
-            fresh = df.join(self.read().select(*on), list(on), "left_anti").select(*df.columns)
+            held = self.read().select(*on)
+            if within:
+                least, most = df.agg(F.min(within), F.max(within)).first()
+                held = held.where(F.col(within).between(least, most)) if least is not None else held.limit(0)
+            fresh = df.join(held, list(on), "left_anti").select(*df.columns)
         self.append(fresh.observe(seen, F.count(F.lit(1)).alias("n")))
         # the table of ``fresh`` is the version read above, so a second count sees the same rows
         return _observed(seen, fresh.agg(F.count(F.lit(1)).alias("n")))["n"]
