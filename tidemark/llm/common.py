@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _left: list[tuple[SparkSession, str]] = []
 _own: list[str] = []
 
@@ -55,7 +56,13 @@ class Scratch:
 
     def cut(self, df: DataFrame) -> DataFrame:
         path = f"{shared_folder(self.spark)}/tidemark-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        # the write's own shuffle files go as soon as it is done, not when the driver happens to collect garbage
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         _left.append((self.spark, path))
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
@@ -90,7 +97,7 @@ def near_fraction(key: Column, fraction: Column) -> Column:
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, component) of every node with an edge: component is the smallest id reachable over columns a, b.
+    """(node, component) of every node that is not the smallest of its component: component is the smallest id reachable over columns a, b.
 
     Every node hooks to its smallest neighbour, parents are jumped over, and the graph of roots is contracted until no
     edge is left, so rounds grow with the logarithm of a component's size. Joins read written tables only, so that a

@@ -6,11 +6,12 @@ string's GRAM-byte pieces (leftmost where equal), which equal strings share; nei
 contexts is put in suffix order, in which previous and next smaller positions give each start's longest previous factor. Starts whose
 factor has LENGTH bytes or more are later copies; the first stays.
 
-A piece with more than ``GROUP`` different contexts would be a hot group: its strings are dealt further, by all of their bytes, and the first of
-each string is found by a partial aggregation. Copies of whole texts are found before by hash.
+A piece with more than ``GROUP`` different contexts would be a hot group. Its contexts are cut into blocks of starts; blocks are dealt by the bytes
+that all their strings share, then by all of their bytes, and the strings of those left by all of theirs, and the first of each is
+found by a partial aggregation. Copies of whole texts are found before by hash.
 
 Texts are UTF-8 bytes, null counts as empty; matches don't cross documents; shorter texts than LENGTH lose nothing. doc_id names one text;
-rows that repeat it get the same result. Empty tables give no rows. Further columns are ignored.
+rows that repeat it get the same result. A row without an id has no place in the order: it loses nothing and takes nothing. Empty tables give no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from tidemark.llm.common import Scratch, map_batches
 LENGTH = 100
 GRAM = 24
 GROUP = 200
+#: Starts of a block of a hot piece's contexts.
+BLOCK = 8
 #: Bytes of text that are hashed at a time, and string starts that are put in order at a time.
 BUFFER, STARTS = 1 << 20, 60_000
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -64,6 +68,10 @@ def contexts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     """(text, hash, start, starts, offset) of the contexts: the piece's hash, the first start, the number of starts, the piece's offset from the first start."""
     out: list[tuple[np.ndarray, ...]] = []
     wide, at = LENGTH - GRAM + 1, 0
+    # a long text is hashed in segments that overlap so far that every start is in one of them
+    segments = [(i, b) for i, x in enumerate(texts) for b in range(0, max(1, len(x) - LENGTH + 1), BUFFER)]
+    of, base = np.array([i for i, _ in segments], np.int64), np.array([b for _, b in segments], np.int64)
+    texts = [texts[i] if len(texts[i]) <= BUFFER else texts[i][b : b + BUFFER + LENGTH - 1] for i, b in segments]
     while at < len(texts):
         upto, size = at, 0
         while upto < len(texts) and (upto == at or size + len(texts[upto]) <= BUFFER):
@@ -79,7 +87,7 @@ def contexts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
             piece = leftmost_minimum(h, wide)[start]
             new = np.flatnonzero(np.r_[True, (np.diff(piece) != 0) | (np.diff(text) != 0)])
             t = text[new]
-            out.append((t + at, h[piece[new]].view(np.int64), start[new] - first[t], np.diff(np.r_[new, len(start)]), piece[new] - start[new]))
+            out.append((of[t + at], h[piece[new]].view(np.int64), start[new] - first[t] + base[t + at], np.diff(np.r_[new, len(start)]), piece[new] - start[new]))
         at = upto
     if not out:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
@@ -194,6 +202,31 @@ def _factors(groups: DataFrame) -> DataFrame:
     return groups.select("hash", "id", "start", "context").mapInArrow(run, "id long, `from` long, `to` long")
 
 
+def _blocks(groups: DataFrame) -> DataFrame:
+    """(core, f1, f2, id, start, context) of the contexts' aligned blocks of up to BLOCK starts.
+
+    A start's place is its distance from the piece, so equal strings are in blocks of one number. core hashes the bytes that every string
+    of that number has, f1 and f2 all bytes of the block's strings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                rows = []
+                for i, s, offset, raw in zip(*(batch.slice(at, 2000).column(c).to_pylist() for c in ("id", "start", "offset", "context")), strict=True):
+                    n, a = len(raw) - LENGTH + 1, 0
+                    while a < n:
+                        number = (offset - a) // BLOCK
+                        b = min(n, offset - number * BLOCK + 1)
+                        shared = raw[offset - number * BLOCK : offset - number * BLOCK - BLOCK + 1 + LENGTH]
+                        part = raw[a : b - 1 + LENGTH]
+                        f = hashlib.blake2b(part, digest_size=16, salt=bytes([offset - a])).digest()
+                        rows.append((xxhash.xxh3_64_intdigest(shared, number) - (1 << 63), int.from_bytes(f[:8], "little", signed=True), int.from_bytes(f[8:], "little", signed=True), i, s + a, part))
+                        a = b
+                yield pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names=["core", "f1", "f2", "id", "start", "context"])
+
+    return groups.select("id", "start", "offset", "context").mapInArrow(run, "core long, f1 long, f2 long, id long, start long, context binary")
+
+
 def _strings(groups: DataFrame) -> DataFrame:
     """(s1, s2, id, start): a hash of every string of the contexts."""
 
@@ -223,16 +256,25 @@ def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     light = every.select("c1", "c2", "id", "start", "starts").join(first, ["c1", "c2"])
     copies = light.where("id <> f_id OR start <> f_start").select("id", F.col("start").alias("from"), (F.col("start") + F.col("starts")).alias("to"))
     # the different contexts: those that occur once, and the first of the others
-    different = every.join(first, ["c1", "c2"], "left").where("f_id IS NULL OR (id = f_id AND start = f_start)").select("hash", "id", "start", "context")
+    different = every.join(first, ["c1", "c2"], "left").where("f_id IS NULL OR (id = f_id AND start = f_start)").select("hash", "id", "start", "offset", "context")
     different = scratch.cut(different)
     sizes = scratch.cut(different.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"))
     small = different.join(sizes.where(F.col("n") <= GROUP), "hash").drop("n")
     factors = _factors(small.repartition("hash").sortWithinPartitions("hash"))
     hot = different.join(sizes.where(F.col("n") > GROUP), "hash").drop("n")
-    strings = _strings(hot)
+    # of a hot piece, only blocks whose common bytes occur twice can hold a copy; equal blocks go whole, the others string by string
+    blocks = _blocks(hot)
+    common = scratch.cut(blocks.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"))
+    near = scratch.cut(blocks.join(common, "core", "left_semi").drop("core"))
+    first_block = scratch.cut(near.groupBy("f1", "f2").agg(F.min(me).alias("first"), F.count("*").alias("n")).where("n > 1").select("f1", "f2", F.col("first.id").alias("f_id"), F.col("first.start").alias("f_start")))
+    judged = scratch.cut(near.join(first_block, ["f1", "f2"], "left").withColumn("later", F.coalesce(F.expr("id <> f_id OR start <> f_start"), F.lit(False))).drop("f_id", "f_start"))
+    later_blocks = judged.where("later").select("id", F.col("start").alias("from"), (F.col("start") + F.octet_length("context") - (LENGTH - 1)).alias("to"))
+    strings = _strings(judged.where("NOT later"))
     firsts = scratch.cut(strings.groupBy("s1", "s2").agg(F.min(me).alias("first"), F.count("*").alias("n")).where("n > 1").select("s1", "s2", F.col("first.id").alias("f_id"), F.col("first.start").alias("f_start")))
     later = strings.join(firsts, ["s1", "s2"]).where("id <> f_id OR start <> f_start").select("id", F.col("start").alias("from"), (F.col("start") + 1).alias("to"))
-    return scratch.cut(copies.unionByName(factors).unionByName(later))
+    found = scratch.cut(copies.unionByName(factors).unionByName(later_blocks).unionByName(later))
+    scratch.drop(often, every, first, different, sizes, common, near, first_block, judged, firsts)
+    return found
 
 
 def _kept(raw: bytes, runs: list[dict]) -> tuple[bytes, list[tuple[int, int]]]:
@@ -271,7 +313,7 @@ def dedup(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
     hashed = docs.select("id", "raw", F.octet_length("raw").alias("n"), F.xxhash64("raw").alias("h"), F.xxhash64(F.lit(1), "raw").alias("g")).where(F.col("n") >= LENGTH)
     whole = scratch.cut(hashed.groupBy("h", "g", "n").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most"))
     copies = scratch.cut(hashed.select("id", "h", "g", "n").join(whole, ["h", "g", "n"]).where("id > least").select("id", "n").distinct())
-    unlike = docs.select("id", "raw").where(F.octet_length("raw") >= LENGTH).join(copies.select("id"), "id", "left_anti")
+    unlike = docs.select("id", "raw").where((F.octet_length("raw") >= LENGTH) & F.col("id").isNotNull()).join(copies.select("id"), "id", "left_anti")
     found = repeats(unlike, scratch)
     of_copies = copies.select("id", F.lit(0).cast("long").alias("from"), (F.col("n") - LENGTH + 1).cast("long").alias("to"))
     runs = found.unionByName(of_copies).groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("runs"))
