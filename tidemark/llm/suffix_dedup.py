@@ -31,7 +31,7 @@ LENGTH = 100
 GRAM = 24
 GROUP = 200
 #: Starts of a block of a hot piece's contexts.
-BLOCK = 8
+BLOCK = 4
 #: Bytes of text that are hashed at a time, and string starts that are put in order at a time.
 BUFFER, STARTS = 1 << 20, 60_000
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
