@@ -5,9 +5,10 @@ shorter). ``HASHES`` minimum hashes, 16 bits each, are its signature. The signat
 places, some chunk differs in at most one (pigeonhole), so keys of every chunk with each one place left out bring together all pairs
 within the distance. At a similarity of 0.8 a pair is beyond that distance about once in a million. Links are confirmed on full sets.
 
-Documents with equal sets count once. Each key's documents are first compared with the key's smallest id only; what this links is one
-component, and only documents of different components that share a key are compared further, so copies aren't expanded into
-all pairs and yet no link between different components is missed.
+Documents with equal sets count once. Each key's documents are first compared with the key's smallest id only. What this links is one
+component; documents outside a key's largest component are then compared with one of its members, another for each key, again and again
+while that settles many. The few that are left are compared with every document of another component that shares a key. So copies aren't
+expanded into all pairs, and yet no link between different components is missed.
 
 Null and empty texts and texts without words have an empty set and link with nothing. Ids that repeat with equal rows are
 one document. A row without an id belongs to the class of an equal set but is never kept. Empty tables give no rows. Further columns are ignored.
@@ -28,6 +29,8 @@ HASHES = 128
 MAX_DISTANCE = 47
 #: One error allowed in each chunk: so many chunks that MAX_DISTANCE errors leave one with at most one.
 CHUNKS = MAX_DISTANCE // 2 + 1
+#: Rounds against single members of a key's largest component go on while they leave less than this part of the round before.
+SHRINKS = 0.8
 REMEMBERED = 300_000
 _rng = np.random.default_rng(20)
 _ODD = _rng.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -156,21 +159,37 @@ def near_duplicates(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     keys = _keys(sets)
     # first, each key's smallest id against the others; keys of one document only are left out early
     centres = scratch.cut(keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a"))
-    stars = scratch.cut(keys.select("key", F.col("id").alias("b")).join(centres, "key").where("a < b").select("a", "b").distinct())
-    links = scratch.cut(_confirmed(scratch.cut(_close(stars, sets)), docs, scratch, words, percent))
-    found = scratch.cut(components(links, scratch).withColumnRenamed("node", "id"))
-    # then documents of different components that share a key, without the pairs already compared
-    shared = scratch.cut(keys.join(centres.select("key"), "key", "left_semi"))
-    placed = shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = scratch.cut(placed)
-    open_keys = scratch.cut(placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("key"))
-    still = scratch.cut(placed.join(open_keys, "key", "left_semi"))
-    side = lambda p: still.select("key", F.col("id").alias(p), F.col("n").alias(f"n_{p}"), F.col("component").alias(f"c_{p}"))
-    across = side("a").join(side("b"), "key").where("a < b AND c_a <> c_b AND 100 * least(n_a, n_b) >= 80 * greatest(n_a, n_b)").select("a", "b").distinct()
-    rest = scratch.cut(_close(across.join(stars, ["a", "b"], "left_anti"), sets))
-    if not rest.isEmpty():
-        more = scratch.cut(_confirmed(rest, docs, scratch, words, percent))
-        found = scratch.cut(components(links.unionByName(more), scratch).withColumnRenamed("node", "id"))
+    shared = scratch.cut(keys.join(centres, "key"))
+    seen = scratch.cut(shared.where("a < id").select("a", F.col("id").alias("b")).distinct())
+    links, left, fresh = None, None, seen
+    while True:
+        more = scratch.cut(_confirmed(scratch.cut(_close(fresh, sets)), docs, scratch, words, percent))
+        links = more if links is None else scratch.cut(links.unionByName(more))
+        found = scratch.cut(components(links, scratch).withColumnRenamed("node", "id"))
+        if left == 0:
+            break
+        # then, of the keys that still hold several components, the documents outside each key's largest one
+        placed = scratch.cut(shared.select("key", "id", "n").join(found, "id", "left").withColumn("component", F.coalesce("component", "id")))
+        some = F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id"))
+        largest = F.max(F.struct("m", "component", "some.id"))
+        each = placed.groupBy("key", "component").agg(F.count("*").alias("m"), some.alias("some"))
+        mains = scratch.cut(each.groupBy("key").agg(largest.alias("main"), F.count("*").alias("c")).where("c > 1").select("key", F.col("main.component").alias("main"), F.col("main.id").alias("rep")))
+        outside = scratch.cut(placed.join(mains, "key").where("component <> main"))
+        before, left = left, outside.count()
+        if left == 0:
+            break
+        if before is None or left < SHRINKS * before:
+            # compared with one member of the largest, another one by each key
+            pairs = outside.select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
+        else:
+            # and what that no longer settles with every document of another component
+            y = placed.select("key", F.col("id").alias("y"), F.col("n").alias("y_n"), F.col("component").alias("y_c"))
+            pairs = outside.join(y, "key").where("component <> y_c AND (y_c = main OR id < y) AND 100 * least(n, y_n) >= 80 * greatest(n, y_n)")
+            pairs = pairs.select(F.least("id", "y").alias("a"), F.greatest("id", "y").alias("b")).distinct()
+            left = 0
+        fresh = scratch.cut(pairs.join(seen, ["a", "b"], "left_anti"))
+        seen = scratch.cut(seen.unionByName(fresh))
+        scratch.drop(placed, mains, outside)
     classes = scratch.cut(sets.select("n", "sum", "xor", "id").join(found, "id", "left").select("n", "sum", "xor", F.coalesce("component", "id").alias("component_id")))
     out = signed.select("id", "n", "sum", "xor").join(classes, ["n", "sum", "xor"], "left").withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
