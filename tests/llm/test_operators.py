@@ -225,6 +225,13 @@ def test_backoff_shortens():
     assert m.word("ξ").tolist() == [0, 0]
 
 
+def test_rare_language_keeps_its_words_beside_a_hot_one():
+    made = {"".join("abcdefghij"[int(d)] for d in f"{i:05d}"): 3 for i in range(70_000)}
+    rare = {"zzyx": 1, "wvut": 1}
+    m = language_id.Model(["hot", "rare"], {"hot": made, "rare": rare})
+    assert len(m.words) == len(made) + len(rare) and all(m.word(w)[1] > m.word(w)[0] for w in [*rare, "qzzy"])
+
+
 def test_quality(spark):
     rng = random.Random(7)
     made = [(i, prose(rng, 30) + "." if i % 2 else prose(rng, 30).upper().replace(" ", "!! "), i % 2) for i in range(160)]

@@ -4,8 +4,8 @@ A word known from training scores by its log frequency in each language; an unse
 longest character n-grams that are known, tried from ``MAX_N`` down to single characters. A text's language has the highest sum,
 ties by the name; the score is its share among all languages.
 
-Training reads at most ``per_language`` documents of each language in expectation, chosen by a hash of the id; prediction
-reads whole texts and nothing but the text. Text that is null or has no letter is ``und`` with score 0, as is every text when nothing was learned. An empty
+Training reads at most ``per_language`` documents of each language in expectation, chosen by a hash of the id, and keeps all their
+words and n-grams; prediction reads whole texts and nothing but the text. Text that is null or has no letter is ``und`` with score 0, as is every text when nothing was learned. An empty
 table gives no rows; repeated rows are judged alike; further columns are ignored.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -23,8 +24,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import fold, map_batches, near_fraction
 
 PER_LANGUAGE = 1500
-MAX_WORDS = 60_000
-MAX_GRAMS = 40_000
 MAX_N = 4
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -32,43 +31,44 @@ REMEMBERED = 200_000
 
 
 class Model:
-    """Score vectors by word and by n-gram, one entry per language."""
+    """Scores of words and of n-grams, a row of one entry per language for each."""
 
     def __init__(self, languages: list[str], counts: dict[str, dict[str, int]]):
-        """counts: by language, the count of each word; MAX_WORDS of all words and MAX_GRAMS grams of each length are kept, the most frequent, ties by text."""
+        """counts: by language, the count of each word. All words and all their n-grams are kept."""
         self.languages = languages
-        n = len(languages)
-        by_word: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n))
+        at: dict[str, int] = {}
+        for lang in languages:
+            for word in counts.get(lang, {}):
+                at.setdefault(word, len(at))
+        by_word = np.zeros((len(at), len(languages)))
         for k, lang in enumerate(languages):
-            for word, c in counts.get(lang, {}).items():
-                by_word[word][k] += c
-        kept = sorted(by_word, key=lambda w: (-by_word[w].sum(), w))[:MAX_WORDS]
-        self.words = self._logs({w: by_word[w] for w in kept})
-        self.grams: list[dict[str, np.ndarray]] = []
+            of = counts.get(lang, {})
+            by_word[np.fromiter(map(at.__getitem__, of), np.int64, len(of)), k] = np.fromiter(of.values(), float, len(of))
+        self.words, self.word_logs = at, self._logs(by_word)
+        self.grams: list[tuple[dict[str, int], np.ndarray]] = []
         for size in range(1, MAX_N + 1):
-            grams: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n))
-            for w in kept:
+            grams: dict[str, int] = {}
+            row, of_word = array("q"), array("q")
+            for w, j in at.items():
                 padded = f" {w} " if size > 1 else w
                 for i in range(len(padded) - size + 1):
-                    grams[padded[i : i + size]] += by_word[w]
-            top = sorted(grams, key=lambda g: (-grams[g].sum(), g))[:MAX_GRAMS]
-            self.grams.append(self._logs({g: grams[g] for g in top}))
+                    row.append(grams.setdefault(padded[i : i + size], len(grams)))
+                    of_word.append(j)
+            rows, words = np.frombuffer(row, np.int64), np.frombuffer(of_word, np.int64)
+            sums = [np.bincount(rows, by_word[words, k], len(grams)) for k in range(len(languages))]
+            self.grams.append((grams, self._logs(np.stack(sums, 1) if sums else np.zeros((0, 0)))))
 
     @staticmethod
-    def _logs(table: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        if not table:
-            return {}
-        rows = np.stack(list(table.values()))
-        logs = np.log(rows + 0.5) - np.log(rows.sum(0) + 0.5 * len(rows))
-        return dict(zip(table, logs, strict=True))
+    def _logs(rows: np.ndarray) -> np.ndarray:
+        return np.log(rows + 0.5) - np.log(rows.sum(0) + 0.5 * len(rows)) if len(rows) else rows
 
     def word(self, w: str) -> np.ndarray:
         if (known := self.words.get(w)) is not None:
-            return known
+            return self.word_logs[known]
         for size in range(MAX_N, 0, -1):
-            padded, table = f" {w} " if size > 1 else w, self.grams[size - 1]
+            padded, (table, logs) = f" {w} " if size > 1 else w, self.grams[size - 1]
             if hits := [x for i in range(len(padded) - size + 1) if (x := table.get(padded[i : i + size])) is not None]:
-                return sum(hits) / len(hits)
+                return logs[hits].mean(0)
         return np.zeros(len(self.languages))
 
 
@@ -110,8 +110,9 @@ def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "t
     words = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(\p{L}+)"), 1))
     found = usable.where(near_fraction(F.col(id_col), share)).select(F.col(lang_col).alias("l"), words.alias("w")).groupBy("l", "w").agg(F.count("*").alias("n"))
     counts: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in found.orderBy(F.desc("n"), "l", "w").limit(MAX_WORDS).toLocalIterator():
-        counts[r["l"]][r["w"]] = r["n"]
+    for batch in found.toArrow().to_batches():
+        for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("l", "w", "n")), strict=True):
+            counts[lang][word] = n
     return Model(sorted(rows), counts)
 
 
