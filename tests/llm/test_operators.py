@@ -203,6 +203,19 @@ def test_words_of_a_host():
     assert "".join(s.words("zzthing")) == "zzthing"
 
 
+def test_rare_words_and_tokens_count(spark):
+    rng, letters = random.Random(12), "abcdefghijklmnopqrstuvwxyz"
+    hot = sorted({"".join(rng.choices(letters, k=6)) for _ in range(31_000)})
+    urls = ["http://zebraquilt.net/", "http://zebraquilt.com/de/1"]
+    pages = spark.createDataFrame([(0, urls[0], " ".join(hot + hot)), (1, urls[1], "zebra quilt")], "page_id long, url string, html string")
+    judged = url_filter.judged_by_rules(pages)
+    counts, total = url_filter.word_counts(pages, judged, Scratch(spark))
+    assert counts["zebra"] == counts["quilt"] == 1 and total == 2 * len(hot) + 2
+    assert by(url_filter.judge(pages), "page_id")[0]["words"] == "tld:net host:zebra host:quilt"
+    tokens = [(1, "block", [f"t{i:05d}" for i in range(30_001)])]
+    assert len(url_filter.naive_bayes(spark.createDataFrame(tokens, "page_id long, verdict string, tokens array<string>"))[1]) == 30_001
+
+
 # language and quality
 
 

@@ -16,16 +16,14 @@ import re
 from collections.abc import Sequence
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches
+from tidemark.llm.common import Scratch, map_batches
 
 #: (rule, verdict); a rule is a host and the start of a path.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-#: The most words in the segmentation model and tokens in the naive Bayes: the models are broadcast, so they are bounded.
-MAX_WORDS = 30_000
-MAX_TOKENS = 30_000
 LONGEST_WORD = 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,20 +54,37 @@ def judged_by_rules(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES,
     return split.withColumn("found", _decided(F.col("host"), F.col("path"), rules)).select(id_col, "host", "path", "found.rule", "found.verdict")
 
 
-def word_counts(pages: DataFrame, text_col: str = "html", most: int = MAX_WORDS) -> dict[str, int]:
-    """Counts of the most frequent words of all pages' text, tags left out. Every page is counted; the model keeps the
-    ``most`` most frequent words, ties by the word."""
+def _pieces(judged: DataFrame) -> DataFrame:
+    """The different strings (w) of up to LONGEST_WORD letters that the letter runs of hosts and paths contain."""
+    letters = lambda c: F.regexp_extract_all(F.translate(c, UPPER, LOWER), F.lit("([a-z]+)"), 1)
+    runs = judged.select(F.explode(F.concat(letters("host"), letters("path"))).alias("run")).distinct()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = {x[i:j] for x in batch.column(0).to_pylist() for i in range(len(x)) for j in range(i + 1, min(len(x), i + LONGEST_WORD) + 1)}
+        return pa.record_batch([pa.array(list(found), pa.string())], names=["w"])
+
+    return map_batches(runs, run, "w string").distinct()
+
+
+def word_counts(pages: DataFrame, judged: DataFrame, scratch: Scratch, text_col: str = "html") -> tuple[dict[str, int], int]:
+    """Counts of all those words of the pages' text, tags left out, that a host or path contains, and the count of all words.
+
+    Every page and word is counted in a table; what leaves it grows with the different words in urls, not with the text."""
     words = F.explode(F.split(F.lower(F.regexp_replace(F.col(text_col), r"<[^>]*>", " ")), r"\P{L}+"))
-    rows = pages.where(F.col(text_col).isNotNull()).select(words.alias("w")).where(F.length("w").between(1, LONGEST_WORD) & F.col("w").rlike("^[a-z]+$")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(most).collect()
-    return {r["w"]: r["count"] for r in rows}
+    table = scratch.cut(pages.where(F.col(text_col).isNotNull()).select(words.alias("w")).where(F.length("w").between(1, LONGEST_WORD) & F.col("w").rlike("^[a-z]+$")).groupBy("w").agg(F.count("*").alias("n")))
+    total = table.agg(F.sum("n")).first()[0] or 0
+    found = table.join(_pieces(judged), "w", "left_semi").select("w", "n").toArrow()
+    scratch.drop(table)
+    return dict(zip(found.column("w").to_pylist(), found.column("n").to_pylist(), strict=True)), total
 
 
 class Segmenter:
     """Unigram Viterbi: the split of a name with the highest product of word probabilities. A letter run that is no word costs ten times less per letter
     than the rarest word, so that it is taken only where nothing else fits."""
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        """total: the count of all words, where counts has only those that the names contain."""
+        total = (sum(counts.values()) if total is None else total) + 1
         self.cost = {w: -math.log(n / total) for w, n in counts.items()}
         self.unknown = math.log(total) + math.log(10)
         self.longest = max(map(len, counts), default=1)
@@ -108,12 +123,12 @@ def tokens(segmenter: Segmenter, host: str, path: str) -> list[str]:
     return out
 
 
-def _tokenised(decided: DataFrame, counts: dict[str, int], id_col: str) -> DataFrame:
+def _tokenised(decided: DataFrame, model: Broadcast, id_col: str) -> DataFrame:
     cut: list[Segmenter] = []
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not cut:
-            cut.append(Segmenter(counts))
+            cut.append(Segmenter(*model.value))
         found = [tokens(cut[0], h, p) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
         return pa.record_batch([*batch.columns, pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, "tokens"])
 
@@ -121,32 +136,32 @@ def _tokenised(decided: DataFrame, counts: dict[str, int], id_col: str) -> DataF
     return map_batches(decided, run, f"{id_col} {kind}, host string, path string, rule string, verdict string, tokens array<string>")
 
 
-def naive_bayes(tokenised: DataFrame, most: int = MAX_TOKENS) -> tuple[float, dict[str, float], float]:
-    """(prior, weight by token, weight of an unseen token) of block against allow, with add-one smoothing, over all urls that a rule decides."""
+def naive_bayes(tokenised: DataFrame) -> tuple[float, dict[str, float], float]:
+    """(prior, weight by token, weight of an unseen token) of block against allow, with add-one smoothing, over all urls that a rule decides and all their tokens."""
     decided = tokenised.where(F.col("verdict").isNotNull())
     block = (F.col("verdict") == "block").cast("long")
     urls = decided.agg(F.count("*").alias("n"), F.sum(block).alias("block")).first()
-    by_token = decided.select(F.explode("tokens").alias("t"), block.alias("block")).groupBy("t").agg(F.count("*").alias("n"), F.sum("block").alias("block"))
-    rows = by_token.orderBy(F.desc("n"), "t").limit(most).collect()
-    blocked, allowed = sum(r["block"] for r in rows), sum(r["n"] - r["block"] for r in rows)
+    by_token = decided.select(F.explode("tokens").alias("t"), block.alias("block")).groupBy("t").agg(F.count("*").alias("n"), F.sum("block").alias("block")).toArrow()
+    rows = list(zip(*(by_token.column(c).to_pylist() for c in ("t", "n", "block")), strict=True))
+    blocked, allowed = sum(b for _, _, b in rows), sum(n - b for _, n, b in rows)
     size = len(rows) + 1
     weight = lambda b, a: math.log((b + 1) / (blocked + size)) - math.log((a + 1) / (allowed + size))
     n, b = urls["n"] or 0, urls["block"] or 0
-    return math.log((b + 1) / (n - b + 1)), {r["t"]: weight(r["block"], r["n"] - r["block"]) for r in rows}, weight(0, 0)
+    return math.log((b + 1) / (n - b + 1)), {t: weight(b, n - b) for t, n, b in rows}, weight(0, 0)
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", text_col: str = "html") -> DataFrame:
     """(id, host, path, rule, verdict, words, block_score): the longest rule's verdict, else block where the model's probability of block is over one half."""
     decided = judged_by_rules(pages, rules, id_col, url_col)
-    counts = word_counts(pages, text_col)
-    tokenised = _tokenised(decided, counts, id_col)
-    prior, weights, unseen = naive_bayes(tokenised)
+    context = pages.sparkSession.sparkContext
+    model = context.broadcast(word_counts(pages, decided, Scratch(pages.sparkSession), text_col))
+    bayes = context.broadcast(naive_bayes(_tokenised(decided, model, id_col)))
     cut: list[Segmenter] = []
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not cut:
-            cut.append(Segmenter(counts))
-        words, scores = [], []
+            cut.append(Segmenter(*model.value))
+        words, scores, (prior, weights, unseen) = [], [], bayes.value
         for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True):
             found = tokens(cut[0], h, p)
             words.append(" ".join(found))
