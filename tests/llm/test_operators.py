@@ -337,6 +337,26 @@ def test_simhash(spark, docs, texts):
     assert got[0]["fingerprint"] == got[1]["fingerprint"] and got[8]["fingerprint"] == got[9]["fingerprint"]
 
 
+def test_near_copies_are_found(spark):
+    rng, made = random.Random(13), []
+    for _ in range(60):  # pairs of 200 words, one of them changed
+        words = ["w%d" % rng.randrange(10**6) for _ in range(200)]
+        made += [" ".join(words), " ".join([*words[:90], "changed", *words[91:]])]
+    got = by(simhash.compare_with_edits(documents(spark, made), Scratch(spark)))
+    assert sum(r["n_near"] == 1 for r in got.values()) >= 0.9 * len(made) and all(r["n_near"] <= 1 for r in got.values())
+
+
+@pytest.mark.parametrize("radius", [0, 8, 11])
+def test_wide_hamming_search_gives_each_pair_once(spark, radius):
+    rng = random.Random(radius)
+    found = [rng.getrandbits(128) for _ in range(60)]
+    found += [x ^ sum(1 << b for b in rng.sample(range(128), rng.randint(1, radius + 2))) for x in found for _ in range(3)]
+    key = lambda x: ((x >> 64) - (x >> 127 << 64), (x & (1 << 64) - 1) - ((x >> 63 & 1) << 64))
+    df = spark.createDataFrame([key(x) for x in found], "high long, low long")
+    got = sorted(sorted([(r["a_high"], r["a_low"]), (r["b_high"], r["b_low"])]) for r in simhash.near_fingerprints(df, Scratch(spark), radius).collect())
+    assert got == sorted(sorted([key(a), key(b)]) for i, a in enumerate(found) for b in found[:i] if a != b and (a ^ b).bit_count() <= radius)
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3, 6])
 def test_hamming_search_misses_nothing(spark, radius):
     rng = random.Random(radius)

@@ -4,9 +4,10 @@ A term is a pair of neighbouring words (the last word also by itself); each occu
 64-bit hashes of the term vote on the bits; a bit is set where more than half of the weight votes for it. Votes are summed two to a
 long, 32 bits each: texts of up to 2**32 terms have exact votes.
 
-Search: bits fall into radius + 1 blocks; two fingerprints within the radius agree in at least one. One table for each
-block, keyed by it, is joined with itself and candidates are checked in full, so that no pair is missed. Equal fingerprints
-are searched once, with their number.
+Search: bits fall into radius // 3 + 1 blocks; two fingerprints within the radius differ in at most two bits of at least one. One
+table for each block, keyed by it as it is and with each one bit flipped, is joined with itself: blocks that differ in two bits meet
+where each side has one of them flipped. Candidates are checked in full, so that no pair is missed. Equal fingerprints are
+searched once, with their number. One changed word alters two terms of n: their cosine is 1 - 2 / n, and about 8 bits differ at 100 words.
 
 Null text counts as empty. Equal texts have equal fingerprints. Rows without an id have no next document and are left out. Empty tables give no rows. Rows of one id are ordered by
 their text's hash; rows equal in both count once. Further columns are ignored.
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch
 
 BITS = 128
-RADIUS = 3
+#: Four blocks of 32 bits. By a binomial estimate 0.88 of copies with one changed word of 100 are within, 0.99 of 200.
+RADIUS = 11
 HALF = (1 << 32) - 1
 SPACE = r"[\s]+"
 
@@ -54,23 +56,37 @@ def distance(a_high: Column, a_low: Column, b_high: Column, b_low: Column) -> Co
 
 def near_fingerprints(prints: DataFrame, scratch: Scratch, radius: int = RADIUS) -> DataFrame:
     """(a_high, a_low, b_high, b_low, distance) of all pairs of different fingerprints within the radius, each pair once."""
-    blocks, at = [], 0
-    for k in range(radius + 1):
-        wide = BITS // (radius + 1) + (k < BITS % (radius + 1))
-        parts, low, high = [], max(0, at), at + wide
-        for name, start in (("low", 0), ("high", 64)):
-            a, b = max(low, start), min(high, start + 64)
-            if a < b:
-                mask = (1 << (b - a)) - 1
-                part = F.shiftrightunsigned(name, a - start)
-                parts.append(part if b - a == 64 else part.bitwiseAND(F.lit(mask)))
-        blocks.append(F.struct(F.lit(k).alias("table"), (parts + [F.lit(0).cast("long")])[0].alias("u"), (parts[1:] + [F.lit(0).cast("long")])[0].alias("v")))
-        at = high
-    keyed = scratch.cut(prints.select("high", "low").distinct().select("high", "low", F.explode(F.array(*blocks)).alias("k")).select("high", "low", "k.*"))
-    side = lambda p: keyed.select("table", "u", "v", F.col("high").alias(f"{p}_high"), F.col("low").alias(f"{p}_low"))
-    pairs = side("a").join(side("b"), ["table", "u", "v"]).where("a_high < b_high OR (a_high = b_high AND a_low < b_low)")
-    away = distance(F.col("a_high"), F.col("a_low"), F.col("b_high"), F.col("b_low"))
-    return pairs.withColumn("distance", away).where(F.col("distance") <= radius).select("a_high", "a_low", "b_high", "b_low", "distance").distinct()
+    n, at, blocks = radius // 3 + 1, 0, []
+    for k in range(n):
+        wide = BITS // n + (k < BITS % n)
+        # (column, first bit, number of bits) of the one or two longs that the block lies in
+        blocks.append([(name, max(at, start) - start, min(at + wide, start + 64) - max(at, start)) for name, start in (("low", 0), ("high", 64)) if max(at, start) < min(at + wide, start + 64)])
+        at += wide
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    zero = F.lit(0).cast("long")
+    values = lambda block, p="": [F.shiftrightunsigned(p + c, first).bitwiseAND(F.lit(signed((1 << bits) - 1)).cast("long")) for c, first, bits in block]
+    single = scratch.cut(prints.select("high", "low").distinct())
+    found, earlier = [], F.lit(False)
+    for block in blocks:
+        u, v = [*values(block), zero][:2]
+        w = block[0][2]
+        keys = [F.struct(F.lit(-1).alias("flip"), u.alias("u"), v.alias("v"))]
+        for i in range(sum(x[2] for x in block)):
+            one = F.lit(signed(1 << (i if i < w else i - w))).cast("long")
+            keys.append(F.struct(F.lit(i).alias("flip"), (u.bitwiseXOR(one) if i < w else u).alias("u"), (v if i < w else v.bitwiseXOR(one)).alias("v")))
+        keyed = single.select("high", "low", F.explode(F.array(*keys)).alias("k")).select("high", "low", "k.*")
+        side = lambda p: keyed.select("u", "v", *(F.col(c).alias(f"{p}_{c}") for c in ("flip", "high", "low")))  # noqa: B023, E731
+        # each pair once: in order, both as they are, the second flipped, or both with rising flips; and only in its first such block
+        once = F.expr("(a_flip < b_flip OR (a_flip = -1 AND b_flip = -1)) AND (a_high < b_high OR (a_high = b_high AND a_low < b_low))")
+        away = distance(F.col("a_high"), F.col("a_low"), F.col("b_high"), F.col("b_low"))
+        found.append(scratch.cut(side("a").join(side("b"), ["u", "v"]).where(once & (away <= radius) & ~earlier).select("a_high", "a_low", "b_high", "b_low", away.alias("distance"))))
+        apart = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(values(block, "a_"), values(block, "b_"), strict=True)), F.lit(0))
+        earlier = earlier | (apart <= 2)
+    scratch.drop(single)
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def near_counts(prints: DataFrame, scratch: Scratch, radius: int = RADIUS) -> DataFrame:
