@@ -258,6 +258,13 @@ def test_quality(spark):
     assert {r["predicted"] for r in quality.score(docs, alone).collect()} == {1}
 
 
+def test_long_tokens_are_read_to_their_end():
+    pool = quality.Pooler({"word": np.ones(quality.DIM, np.float32)})
+    assert quality.pieces("ab  " + "x" * 130) == ["ab", "x" * 64, "x" * 64, "xx"]
+    assert (pool.text("文" * 64 + "字" * 200) != pool.text("文" * 64 + "9!9!" * 50)).any()
+    assert pool.text("-" * 64 + "word")[: quality.DIM].any()
+
+
 # near-duplicates
 
 

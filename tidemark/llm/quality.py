@@ -2,7 +2,7 @@
 
 Every word has a sparse ternary index vector drawn from a hash of it. The vector of a frequent word is the normalised sum
 of the index vectors around it (random indexing); that of a word's shape (capitals, digits, marks) is its index vector.
-A document is the mean over its words. The network is trained on these means; a temperature fitted on held-back rows calibrates its
+A document is the mean over its words; tokens of over PIECE characters count as several. The network is trained on these means; a temperature fitted on held-back rows calibrates its
 probabilities.
 
 Training reads at most ``rows`` labelled documents in expectation, chosen by a hash of the id; scoring reads whole texts and nothing
@@ -33,6 +33,7 @@ WINDOW = 2
 HIDDEN = 24
 THRESHOLD = 0.3
 REMEMBERED = 200_000
+PIECE = 64
 EDGES = re.compile(r"^\W+|\W+$")
 
 
@@ -46,10 +47,15 @@ def index_vector(word: str) -> np.ndarray:
 
 def shape(token: str) -> str:
     """Letters as A or a, digits as 9, runs of a kind as one; other marks stay."""
-    kinds = ["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in token[:64]]
+    kinds = ["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in token]
     return "".join(c for i, c in enumerate(kinds) if not i or c != kinds[i - 1])
 
 
+def pieces(text: str) -> list[str]:
+    """Tokens between white space; longer ones than PIECE in pieces of it, so that text without spaces is pooled whole."""
+    return [t[i : i + PIECE] for t in text.split() for i in range(0, len(t), PIECE)]
+
+
 def core(token: str) -> str:
     return EDGES.sub("", token).lower()
 
@@ -77,7 +83,7 @@ class Pooler:
         self.words, self.row, self.matrix, self.shapes = words, {}, np.zeros((1024, 2 * DIM), np.float32), {}
 
     def text(self, text: str | None) -> np.ndarray:
-        counts = Counter((text or "").split())
+        counts = Counter(pieces(text or ""))
         if not counts:
             return np.zeros(2 * DIM, np.float32)
         if len(self.row) + len(counts) > REMEMBERED:
@@ -142,7 +148,7 @@ def _contexts(sample: DataFrame, text_col: str, vocabulary: list[str]) -> dict[s
         index = np.vstack([*(index_vector(w) for w in vocabulary), np.zeros((1, DIM), np.float32)])
         sums = np.zeros_like(index)
         for x in batch.column(0):
-            ids = np.array([at.get(core(t), len(vocabulary)) for t in (x.as_py() or "").split()], np.int64)
+            ids = np.array([at.get(core(t), len(vocabulary)) for t in pieces(x.as_py() or "")], np.int64)
             for off in range(1, WINDOW + 1):
                 np.add.at(sums, ids[:-off], index[ids[off:]])
                 np.add.at(sums, ids[off:], index[ids[:-off]])
@@ -164,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, scratch: Scratch, id_
     chosen = usable.where(near_fraction(F.col(id_col), F.lit(min(1.0, rows / n))))
     # the choice has about ``rows`` rows of two numbers at most, which bounds the broadcast
     sample = scratch.cut(docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col("y").cast("double").alias("y")))
-    tokens = sample.select(F.explode(F.split("text", r"\s+")).alias("t"))
+    tokens = sample.select(F.explode(F.regexp_extract_all("text", F.lit(rf"(\S{{1,{PIECE}}})"), 1)).alias("t"))
     words = tokens.select(F.lower(F.regexp_replace("t", r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$", "")).alias("w")).where("w <> ''").groupBy("w").count()
     vocabulary = [r["w"] for r in words.orderBy(F.desc("count"), "w").limit(VOCABULARY).collect()]
     vectors = _contexts(sample, "text", vocabulary)
