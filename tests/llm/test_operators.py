@@ -273,8 +273,8 @@ def shingles(text, size):
     return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
-@pytest.mark.parametrize("size", [2, 5])
-def test_minhash(spark, docs, texts, size):
+@pytest.mark.parametrize(("size", "percent"), [(1, 80), (2, 80), (5, 80), (2, 60), (5, 93)])
+def test_minhash(spark, docs, texts, size, percent):
     rng = random.Random(8)
     more = list(texts)
     for _ in range(6):  # families of copies with a few words changed, chains included
@@ -283,28 +283,29 @@ def test_minhash(spark, docs, texts, size):
             words = list(words)
             words[rng.randrange(80)] = "w%d" % rng.randrange(99)
             more.append(" ".join(words))
-    got = by(minhash.near_duplicates(documents(spark, more).repartition(3), Scratch(spark), words=size))
+    got = by(minhash.near_duplicates(documents(spark, more).repartition(3), Scratch(spark), words=size, percent=percent))
     sets = [shingles(t, size) for t in more]
     label = list(range(len(more)))
     for _ in range(len(more)):
         before = list(label)
         for i in range(len(more)):
             for j in range(i):
-                if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                     label[i] = label[j] = min(label[i], label[j])
         if label == before:
             break
     assert [(got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) for i in range(len(more))] == [(len(s), c, c == i) for i, (s, c) in enumerate(zip(sets, label, strict=True))]
 
 
-def test_signatures_within_the_distance_share_a_key():
-    rng = np.random.default_rng(9)
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_signatures_within_the_distance_share_a_key(percent):
+    rng, ends = np.random.default_rng(9), minhash.bounds(percent)
     a = rng.integers(0, 1 << 16, (200, minhash.HASHES)).astype(np.uint16)
     b = a.copy()
     for row in b:
-        at = rng.choice(minhash.HASHES, minhash.MAX_DISTANCE, replace=False)
+        at = rng.choice(minhash.HASHES, minhash.farthest(percent), replace=False)
         row[at] ^= 1
-    assert all(len(np.intersect1d(x, y)) for x, y in zip(minhash.keys_of(a), minhash.keys_of(b), strict=True))
+    assert all(len(np.intersect1d(x, y)) for x, y in zip(minhash.keys_of(a, ends), minhash.keys_of(b, ends), strict=True))
 
 
 # tokens

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BYTES, DEFAULT_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _left: list[tuple[SparkSession, str]] = []
 _own: list[str] = []
@@ -75,8 +76,15 @@ class Scratch:
             _left[:] = [x for x in _left if x[1] != path]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES and a row, where the session keeps Spark's default: memory on both sides follows the bytes, not the rows."""
+    if spark.conf.get(BYTES) == DEFAULT_BYTES:
+        spark.conf.set(BYTES, BATCH_BYTES)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """One Arrow batch in, one out; columns of the output in the order of the schema."""
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -35,7 +35,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark), words=2, percent=80)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark), words=2)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
