@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +95,23 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def arrow_column(spark: SparkSession, fn: Callable[[pa.Array], pa.Array], kind: str) -> Callable[[Column], Column]:
+    """A column computed from another by Arrow batches; the row's other columns stay in the JVM."""
+    bound_batches(spark)
+
+    def run(column: pa.Array) -> pa.Array:
+        return fn(column)
+
+    return F.arrow_udf(run, returnType=kind, functionType=F.ArrowUDFType.SCALAR)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spreads every bit of 64-bit values over all."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo the number of folds."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, map_batches, near_fraction
+from tidemark.llm.common import arrow_column, fold, near_fraction
 
 PER_LANGUAGE = 1500
 MAX_N = 4
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 class Model:
@@ -73,29 +73,30 @@ class Model:
 
 
 class Predictor:
-    """A model with the vectors of the words seen so far as rows of one matrix."""
+    """A model with the vectors of REMEMBERED words seen lately as rows of one matrix."""
 
     def __init__(self, model: Model):
-        self.model, self.row, self.matrix = model, {}, np.zeros((1024, len(model.languages)))
+        self.model, self.row, self.matrix = model, {}, np.zeros((REMEMBERED, len(model.languages)))
 
     def text(self, text: str | None) -> tuple[str, float]:
         words = WORD.findall((text or "").lower())
         if not self.model.languages or not any(c.isalpha() for w in words for c in w):
             return UNKNOWN, 0.0
-        counts = Counter(words)
-        if len(self.row) + len(counts) > REMEMBERED:
-            self.row.clear()
+        counts = list(Counter(words).items())
+        sums = sum((self._sums(counts[i : i + REMEMBERED]) for i in range(0, len(counts), REMEMBERED)), np.zeros(len(self.model.languages)))
+        best = int(sums.argmax())
+        return self.model.languages[best], 1 / float(np.exp(np.clip(sums - sums[best], -700, 0)).sum())
+
+    def _sums(self, counts: list[tuple[str, int]]) -> np.ndarray:
         row = self.row
-        for w in counts:
+        if len(row) + len(counts) > REMEMBERED:
+            row.clear()
+        for w, _ in counts:
             if w not in row:
-                if len(row) == len(self.matrix):
-                    self.matrix = np.vstack([self.matrix, np.zeros_like(self.matrix)])
                 self.matrix[len(row)] = self.model.word(w)
                 row[w] = len(row)
-        rows = np.fromiter(map(row.__getitem__, counts), np.int64, len(counts))
-        sums = np.fromiter(counts.values(), float, len(counts)) @ self.matrix[rows]
-        best = int(sums.argmax())
-        return self.model.languages[best], 1 / float(np.exp(np.clip(sums - sums[best], -700, 0)).sum())
+        rows = np.fromiter((row[w] for w, _ in counts), np.int64, len(counts))
+        return np.fromiter((n for _, n in counts), float, len(counts)) @ self.matrix[rows]
 
 
 def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
@@ -117,20 +118,20 @@ def fit(df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "t
 
 
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, lang_pred, score), with the columns in keep."""
+    """(id, lang_pred, lang_score), with the columns in keep. Only the text goes to Python."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     cols = list(dict.fromkeys([id_col, *keep]))
-    read = list(dict.fromkeys([*cols, text_col]))
     own: list[Predictor] = []
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(texts: pa.Array) -> pa.Array:
         if not own:
             own.append(Predictor(shared.value))
-        found = [own[0].text(x.as_py()) for x in batch.column(text_col)]
-        return pa.record_batch([*(batch.column(c) for c in cols), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*cols, "lang_pred", "lang_score"])
+        found = [own[0].text(x.as_py()) for x in texts]
+        return pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["lang", "score"])
 
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
-    return map_batches(df.select(*read), run, f"{kinds}, lang_pred string, lang_score double")
+    judge = arrow_column(df.sparkSession, run, "lang string, score double")
+    judged = df.select(*(F.col(c).alias(f"keep_{i}") for i, c in enumerate(cols)), judge(F.col(text_col)).alias("found"))
+    return judged.select(*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(cols)), F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("lang_score"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, components, map_batches
+from tidemark.llm.common import Scratch, components, map_batches, mix
 
 WORDS = 5
 PERCENT = 80
@@ -52,13 +52,6 @@ def bounds(percent: int) -> np.ndarray:
     return np.linspace(0, HASHES, chunks + 1).round().astype(int)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Spreads every bit of 64-bit values over all."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
 class Shingler:
     """Sorted 64-bit hashes of a text's distinct shingles; remembers words' hashes."""
 

@@ -1,9 +1,9 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer numpy network.
 
-Every word has a sparse ternary index vector drawn from a hash of it. The vector of a frequent word is the normalised sum
-of the index vectors around it (random indexing); that of a word's shape (capitals, digits, marks) is its index vector.
-A document is the mean over its words; tokens of over PIECE characters count as several. The network is trained on these means; a temperature fitted on held-back rows calibrates its
-probabilities.
+Every word has a sparse ternary index vector drawn from a hash of it. A word's vector is the normalised sum of the index vectors around its
+occurrences in the sample (random indexing), that of a word the sample lacks its index vector; every word of the sample has one. A token's shape
+(capitals, digits, marks) is indexed likewise. A document is the mean over its tokens; tokens of over PIECE characters count as several. The network is trained on
+these means; a temperature fitted on held-back rows calibrates its probabilities.
 
 Training reads at most ``rows`` labelled documents in expectation, chosen by a hash of the id; scoring reads whole texts and nothing
 but the text. Null and empty texts have a zero vector and get the network's score for it. Without labels of both kinds
@@ -20,31 +20,37 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, fold, map_batches, near_fraction
+from tidemark.llm.common import Scratch, arrow_column, fold, map_batches, mix, near_fraction
 
 ROWS = 8000
-VOCABULARY = 3000
 DIM = 32
 NONZERO = 6
 WINDOW = 2
 HIDDEN = 24
 THRESHOLD = 0.3
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 PIECE = 64
 EDGES = re.compile(r"^\W+|\W+$")
 
 
-def index_vector(word: str) -> np.ndarray:
-    """NONZERO entries of plus or minus one, places and signs from a hash of the word."""
-    rng = np.random.Generator(np.random.PCG64(zlib.crc32(word.encode("utf-8", "surrogatepass"))))
-    out = np.zeros(DIM, np.float32)
-    out[rng.choice(DIM, NONZERO, replace=False)] = rng.choice([-1.0, 1.0], NONZERO)
+def index_vectors(words: list[str]) -> np.ndarray:
+    """For each word NONZERO entries of plus or minus one; places and signs from a hash of the word."""
+    h = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+    out = np.zeros((len(words), DIM), np.float32)
+    for k in range(NONZERO):
+        x = mix(h + np.uint64(k))
+        out[np.arange(len(words)), (x % np.uint64(DIM)).astype(np.int64)] += np.where(x >> np.uint64(63), 1, -1)
     return out
 
 
+def unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=-1, keepdims=True), 1e-6)
+
+
 def shape(token: str) -> str:
     """Letters as A or a, digits as 9, runs of a kind as one; other marks stay."""
     kinds = ["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in token]
@@ -62,7 +68,8 @@ def core(token: str) -> str:
 
 @dataclass
 class Model:
-    words: dict[str, np.ndarray] = field(default_factory=dict)
+    words: dict[str, int] = field(default_factory=dict)
+    vectors: np.ndarray = field(default_factory=lambda: np.zeros((0, DIM), np.float32))
     centre: np.ndarray | None = None
     spread: np.ndarray | None = None
     layers: tuple[np.ndarray, ...] = ()
@@ -77,34 +84,31 @@ class Model:
 
 
 class Pooler:
-    """Document vectors; remembers the rows of tokens seen so far."""
+    """Document vectors; keeps the rows of REMEMBERED tokens seen lately."""
 
-    def __init__(self, words: dict[str, np.ndarray]):
-        self.words, self.row, self.matrix, self.shapes = words, {}, np.zeros((1024, 2 * DIM), np.float32), {}
+    def __init__(self, words: dict[str, int], vectors: np.ndarray):
+        self.words, self.vectors, self.row, self.matrix = words, vectors, {}, np.zeros((REMEMBERED, 2 * DIM), np.float32)
 
     def text(self, text: str | None) -> np.ndarray:
-        counts = Counter(pieces(text or ""))
-        if not counts:
-            return np.zeros(2 * DIM, np.float32)
+        counts = list(Counter(pieces(text or "")).items())
+        sums = sum((self._sums(counts[i : i + REMEMBERED]) for i in range(0, len(counts), REMEMBERED)), np.zeros(2 * DIM, np.float32))
+        return sums / max(1, sum(n for _, n in counts))
+
+    def _sums(self, counts: list[tuple[str, int]]) -> np.ndarray:
         if len(self.row) + len(counts) > REMEMBERED:
             self.row.clear()
-        row = self.row
-        for t in counts:
-            if t not in row:
-                if len(row) == len(self.matrix):
-                    self.matrix = np.vstack([self.matrix, np.zeros_like(self.matrix)])
-                here = self.matrix[len(row)]
-                here[:DIM] = self.words.get(core(t), 0)
-                s = shape(t)
-                if s not in self.shapes:
-                    if len(self.shapes) > REMEMBERED:
-                        self.shapes.clear()
-                    self.shapes[s] = index_vector(s)
-                here[DIM:] = self.shapes[s]
+        row, new = self.row, [t for t, _ in counts if t not in self.row]
+        if new:
+            cores = [core(t) for t in new]
+            at = np.array([self.words.get(w, -1) for w in cores])
+            block = self.matrix[len(row) : len(row) + len(new)]
+            block[at >= 0, :DIM] = self.vectors[at[at >= 0]]
+            block[at < 0, :DIM] = unit(index_vectors([w for w, i in zip(cores, at, strict=True) if i < 0])) * np.array([bool(w) for w, i in zip(cores, at, strict=True) if i < 0], np.float32)[:, None]
+            block[:, DIM:] = index_vectors([shape(t) for t in new])
+            for t in new:
                 row[t] = len(row)
-        rows = np.fromiter(map(row.__getitem__, counts), np.int64, len(counts))
-        n = np.fromiter(counts.values(), np.float32, len(counts))
-        return (n @ self.matrix[rows]) / n.sum()
+        rows = np.fromiter((row[t] for t, _ in counts), np.int64, len(counts))
+        return np.fromiter((n for _, n in counts), np.float32, len(counts)) @ self.matrix[rows]
 
 
 def forward(layers: tuple[np.ndarray, ...], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,24 +145,27 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
-def _contexts(sample: DataFrame, text_col: str, vocabulary: list[str]) -> dict[str, np.ndarray]:
-    at = {w: i for i, w in enumerate(vocabulary)}
+def _contexts(sample: DataFrame, text_col: str) -> tuple[dict[str, int], np.ndarray]:
+    """The place of each word of the sample, and the words' vectors."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        index = np.vstack([*(index_vector(w) for w in vocabulary), np.zeros((1, DIM), np.float32)])
+        texts = [[core(t) for t in pieces(x.as_py() or "")] for x in batch.column(0)]
+        words = sorted({w for t in texts for w in t if w})
+        at = {w: i for i, w in enumerate(words)}
+        index = np.vstack([index_vectors(words), np.zeros((1, DIM), np.float32)])
         sums = np.zeros_like(index)
-        for x in batch.column(0):
-            ids = np.array([at.get(core(t), len(vocabulary)) for t in pieces(x.as_py() or "")], np.int64)
+        for t in texts:
+            ids = np.array([at.get(w, len(words)) for w in t], np.int64)
             for off in range(1, WINDOW + 1):
                 np.add.at(sums, ids[:-off], index[ids[off:]])
                 np.add.at(sums, ids[off:], index[ids[:-off]])
-        rows = np.flatnonzero(np.abs(sums[:-1]).sum(1))
-        return pa.record_batch([pa.array(rows), pa.array(list(sums[rows]), pa.list_(pa.float32()))], names=["word", "vec"])
+        return pa.record_batch([pa.array(words, pa.string()), pa.array(sums[:-1].astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["word", "vec"])
 
-    parts = map_batches(sample.select(text_col), run, "word long, vec array<float>")
-    rows = parts.groupBy("word").agg(*(F.sum(F.col("vec")[i]).alias(f"d{i}") for i in range(DIM))).collect()
-    found = {vocabulary[r[0]]: np.array(r[1:], np.float32) for r in rows}
-    return {w: v / max(float(np.linalg.norm(v)), 1e-6) for w, v in sorted(found.items())}
+    parts = map_batches(sample.select(text_col), run, "word string, vec array<int>")
+    # sums of whole numbers: the same whatever the partitioning
+    sums = parts.groupBy("word").agg(F.array(*(F.sum(F.col("vec")[i]) for i in range(DIM))).alias("vec")).orderBy("word").toArrow()
+    vectors = sums.column("vec").combine_chunks().values.to_numpy().reshape(-1, DIM) if sums.num_rows else np.zeros((0, DIM))
+    return {w: i for i, w in enumerate(sums.column("word").to_pylist())}, unit(vectors.astype(np.float32))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = ROWS) -> Model:
@@ -170,50 +177,48 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, scratch: Scratch, id_
     chosen = usable.where(near_fraction(F.col(id_col), F.lit(min(1.0, rows / n))))
     # the choice has about ``rows`` rows of two numbers at most, which bounds the broadcast
     sample = scratch.cut(docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col("y").cast("double").alias("y")))
-    tokens = sample.select(F.explode(F.regexp_extract_all("text", F.lit(rf"(\S{{1,{PIECE}}})"), 1)).alias("t"))
-    words = tokens.select(F.lower(F.regexp_replace("t", r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$", "")).alias("w")).where("w <> ''").groupBy("w").count()
-    vocabulary = [r["w"] for r in words.orderBy(F.desc("count"), "w").limit(VOCABULARY).collect()]
-    vectors = _contexts(sample, "text", vocabulary)
-    pooled = features(sample, vectors, ("id", "y")).toPandas().sort_values("id")
+    words, vectors = _contexts(sample, "text")
+    pooled = features(sample, words, vectors, ("id", "y")).toPandas().sort_values("id")
     scratch.drop(sample)
     x, y = np.stack(pooled["vec"]).astype(float) if len(pooled) else np.zeros((0, 2 * DIM)), pooled["y"].to_numpy()
     back = np.array([zlib.crc32(f"back {i}".encode()) % 5 == 0 for i in pooled["id"]], bool)
     if len(set(y[~back])) < 2:
         return Model(constant=good / n)
-    model = Model(vectors, x[~back].mean(0), x[~back].std(0) + 1e-3, constant=good / n)
+    model = Model(words, vectors, x[~back].mean(0), x[~back].std(0) + 1e-3, constant=good / n)
     model.layers = train((x[~back] - model.centre) / model.spread, y[~back])
     if back.any():
         model.temperature = calibrate(forward(model.layers, (x[back] - model.centre) / model.spread)[1], y[back])
     return model
 
 
-def features(df: DataFrame, vectors: dict[str, np.ndarray], keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
+def features(df: DataFrame, words: dict[str, int], vectors: np.ndarray, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
+    """vec, with the columns in keep."""
+    shared = df.sparkSession.sparkContext.broadcast((words, vectors))
     own: list[Pooler] = []
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(texts: pa.Array) -> pa.Array:
         if not own:
-            own.append(Pooler(vectors))
-        return pa.record_batch([*batch.columns[1:], pa.array([own[0].text(x.as_py()) for x in batch.column(0)], pa.list_(pa.float32()))], names=[*keep, "vec"])
+            own.append(Pooler(*shared.value))
+        return pa.array([own[0].text(x.as_py()) for x in texts], pa.list_(pa.float32()))
 
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return map_batches(df.select(F.col(text_col).alias("_text"), *keep), run, f"{kinds}, vec array<float>")
+    return df.select(*keep, arrow_column(df.sparkSession, run, "array<float>")(F.col(text_col)).alias("vec"))
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, score, predicted), with the columns in keep."""
+    """(id, quality_score, predicted), with the columns in keep. Only the text goes to Python."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     cols = list(dict.fromkeys([id_col, *keep]))
-    read = list(dict.fromkeys([*cols, text_col]))
     own: list[Pooler] = []
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(texts: pa.Array) -> pa.Array:
         if not own:
-            own.append(Pooler(shared.value.words))
-        scores = shared.value.score(np.stack([own[0].text(x.as_py()) for x in batch.column(text_col)]).astype(float))
-        return pa.record_batch([*(batch.column(c) for c in cols), pa.array(scores, pa.float64()), pa.array((scores >= THRESHOLD).astype(np.int32))], names=[*cols, "quality_score", "predicted"])
+            own.append(Pooler(shared.value.words, shared.value.vectors))
+        pooled = [own[0].text(x.as_py()) for x in texts]
+        return pa.array(shared.value.score(np.stack(pooled).astype(float)) if pooled else [], pa.float64())
 
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
-    return map_batches(df.select(*read), run, f"{kinds}, quality_score double, predicted int")
+    judge = arrow_column(df.sparkSession, run, "double")
+    judged = df.select(*(F.col(c).alias(f"keep_{i}") for i, c in enumerate(cols)), judge(F.col(text_col)).alias("score"))
+    return judged.select(*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(cols)), F.col("score").alias("quality_score"), (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
