@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of ``documents``. The two
 models are fitted on the table that the labels belong to, ``documents`` in sf_dir, so that they do not depend on what earlier stages kept.
 
-Null and empty texts: the quality model scores them like any other, language ID rejects them, as it does texts without a letter. Repeated rows of
-a doc_id are one document from the near-duplicate stage on. Empty tables give no rows; columns beyond those of ``documents`` are dropped.
+Null and empty texts: the quality model scores them like any other, language ID rejects them, as it does texts without a letter. From the
+near-duplicate stage on, equal rows are one document, and so are rows without an id that have one text; rows of one id with different texts stay or go together. Empty tables give no rows;
+columns beyond those of ``documents`` are dropped. Only texts and results pass through Python in the first two stages; the other columns stay in the JVM.
 """
 
 from __future__ import annotations
@@ -15,14 +16,15 @@ from pyspark.sql import functions as F
 from tidemark.llm import language_id, minhash, packing, quality, suffix_dedup
 from tidemark.llm.common import Scratch, table
 
+#: Stand-ins for missing ids start here, above all ids in use.
+NO_ID = 1 << 62
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier accepts."""
     model = quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~quality.held_out(), Scratch(spark))
-    scored = quality.score(docs, model, keep=COLUMNS)
-    return scored.where("predicted = 1").select(*COLUMNS)
+    return quality.score(docs, model, keep=COLUMNS).where("predicted = 1").select(*COLUMNS)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +35,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8): the one with the smallest id."""
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8): the one with the smallest id; one without an id only where none has one."""
     scratch = Scratch(spark)
-    kept = minhash.near_duplicates(docs, scratch).where("kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(scratch.cut(kept), "doc_id").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    stand_in = F.pmod(F.xxhash64("text"), F.lit(NO_ID)) + F.lit(NO_ID)
+    named = docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("long"), stand_in).alias("_id"))
+    kept = scratch.cut(minhash.near_duplicates(named, scratch, id_col="_id").where("kept").select("_id").distinct())
+    return named.join(kept, "_id").dropDuplicates(["_id", "text"]).select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
