@@ -1,39 +1,45 @@
 """Removal of repeated byte strings: every byte covered by a string of ``LENGTH`` bytes that also starts earlier goes.
 
-The suffixes are dealt out so that equal ones of LENGTH bytes meet. Each start of a string is dealt by the smallest hash among the
-string's GRAM-byte pieces (leftmost where equal), which equal strings share; neighbouring starts with the same piece travel as one
-*context*. Contexts whose piece occurs once are left behind, equal contexts are reduced to their first, and what is left of a piece's
-contexts is put in suffix order, in which previous and next smaller positions give each start's longest previous factor. Starts whose
-factor has LENGTH bytes or more are later copies; the first stays.
-
-A piece with more than ``GROUP`` different contexts would be a hot group. Its contexts are cut into blocks of starts; blocks are dealt by the bytes
-that all their strings share, then by all of their bytes, and the strings of those left by all of theirs, and the first of each is
-found by a partial aggregation. Copies of whole texts are found before by hash.
-
-Texts are UTF-8 bytes, null counts as empty; matches don't cross documents; shorter texts than LENGTH lose nothing. doc_id names one text;
-rows that repeat it get the same result. A row without an id has no place in the order: it loses nothing and takes nothing. Empty tables give no rows. Further columns are ignored.
+A string start is a later copy where its longest previous factor (the longest prefix that also starts at a smaller position) has LENGTH bytes or
+more. Factors come from suffix order: strings are dealt into ranges by sampled splitters, sorted, and previous and next smaller positions give each
+its factor. Ranges end between different strings, so that no factor of LENGTH bytes crosses a border.
+
+Sorting every suffix of a corpus would move each byte LENGTH times. Three exact steps leave out what cannot be, or already is, a copy:
+
+1. Each start is represented by the smallest hash among its string's GRAM-byte pieces (leftmost where equal), which equal strings share. Neighbouring
+   starts with one piece form a *context*, a row without text. Contexts whose piece occurs once go.
+2. Of equal contexts (by a hash of their bytes, within one piece) the first stays and the others are later copies whole; a piece that is left with one
+   context goes. This is aggregated before the shuffle, so that a group of copies of any size costs rows, not a task.
+3. The contexts left are cut into aligned blocks of BLOCK starts. Blocks whose common bytes occur once go, and of equal blocks the first stays.
+
+What is left of the texts is read then, string by string. Each task first finds factors among its own strings and sends on only those
+without one, so that a string that a third of all documents hold is a row for each CHUNK, not for each document.
+
+Every text takes this one way, whatever the sizes. Texts are UTF-8 bytes, null counts as empty; matches don't cross documents; shorter texts than
+LENGTH lose nothing. Rows that repeat an id with its text get the same result. A row without an id, or whose id has several different texts, has no place in
+the order: it loses nothing and takes nothing. Empty tables give no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, map_batches
+from tidemark.llm.common import Scratch, bound_batches, map_batches, mix
 
 LENGTH = 100
+#: A multiple of 8.
 GRAM = 24
-GROUP = 200
-#: Starts of a block of a hot piece's contexts.
+#: Starts of a block.
 BLOCK = 4
-#: Bytes of text that are hashed at a time, and string starts that are put in order at a time.
-BUFFER, STARTS = 1 << 20, 60_000
+#: Bytes of text that are hashed at a time, and strings that a task puts in order at a time.
+BUFFER, CHUNK = 1 << 20, 1 << 17
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -45,12 +51,35 @@ def piece_hashes(buffer: bytes) -> np.ndarray:
     for o in range(8):
         got = words[o::8]
         got[:] = np.frombuffer(padded, "<u8", len(got), o)
-    h = words[:n] * _C[0] + (words[8 : n + 8] ^ (words[8 : n + 8] >> np.uint64(29))) * _C[1] + (words[16 : n + 16] ^ (words[16 : n + 16] >> np.uint64(31))) * _C[2]
-    h ^= h >> np.uint64(32)
-    h *= _C[1]
-    h ^= h >> np.uint64(29)
-    h *= _C[0]
-    return h ^ (h >> np.uint64(32))
+    h = words[:n] * _C[0]
+    for k in range(8, GRAM, 8):
+        w = words[k : n + k]
+        h = (h ^ (h >> np.uint64(31))) * _C[1] + (w ^ (w >> np.uint64(29))) * _C[2]
+    return mix(h)
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2**64."""
+    base, out = 0x9E3779B97F4A7C15, []
+    for b in (base, pow(base, -1, 1 << 64)):
+        p = np.full(n, b, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+class Ranges:
+    """Hashes of byte ranges of a buffer, from sums of its pieces' hashes times powers by position; ranges have at least GRAM bytes."""
+
+    def __init__(self, h: np.ndarray):
+        size = 1 << max(16, int(len(h)).bit_length())
+        power, self.inverse = _powers(size)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[: len(h)], dtype=np.uint64)])
+
+    def of(self, start: np.ndarray, stop: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        whole = (self.sums[stop - GRAM + 1] - self.sums[start]) * self.inverse[start]
+        return mix(mix(whole + (stop - start).astype(np.uint64) * _C[2]) + salt.astype(np.uint64) * _C[0]).view(np.int64)
 
 
 def leftmost_minimum(h: np.ndarray, wide: int) -> np.ndarray:
@@ -64,8 +93,8 @@ def leftmost_minimum(h: np.ndarray, wide: int) -> np.ndarray:
     return at
 
 
-def contexts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, start, starts, offset) of the contexts: the piece's hash, the first start, the number of starts, the piece's offset from the first start."""
+def contexts(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(text, hash, bytes, start, starts, offset) of the contexts: hashes of the piece and of all bytes, the first start, the number of starts, the piece's offset from the first start."""
     out: list[tuple[np.ndarray, ...]] = []
     wide, at = LENGTH - GRAM + 1, 0
     # a long text is hashed in segments that overlap so far that every start is in one of them
@@ -86,12 +115,30 @@ def contexts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
             start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
             piece = leftmost_minimum(h, wide)[start]
             new = np.flatnonzero(np.r_[True, (np.diff(piece) != 0) | (np.diff(text) != 0)])
-            t = text[new]
-            out.append((of[t + at], h[piece[new]].view(np.int64), start[new] - first[t] + base[t + at], np.diff(np.r_[new, len(start)]), piece[new] - start[new]))
+            t, a, n = text[new], start[new], np.diff(np.r_[new, len(start)])
+            offset = piece[new] - a
+            out.append((of[t + at], h[piece[new]].view(np.int64), Ranges(h).of(a, a + n + LENGTH - 1, offset), a - first[t] + base[t + at], n, offset))
         at = upto
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
-    return tuple(np.concatenate([x[i] for x in out]).astype(np.int64) for i in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    return tuple(np.concatenate([x[i] for x in out]).astype(np.int64) for i in range(6))
+
+
+def blocks(raw: bytes, first: np.ndarray, starts: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(context, core, whole, at, n) of the aligned blocks of up to BLOCK starts of contexts that stand one after the other in raw.
+
+    A start's place is its distance from the piece, so equal strings are in blocks of one number. core hashes the bytes that every string of that number
+    has, whole all bytes of the block's own strings; at is the block's first start in its context, n how many it has."""
+    number = (np.repeat(offset, starts) - (np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts))) // BLOCK
+    of = np.repeat(np.arange(len(starts)), starts)
+    new = np.flatnonzero(np.r_[True, (np.diff(number) != 0) | (np.diff(of) != 0)])
+    of, number, n = of[new], number[new], np.diff(np.r_[new, len(number)])
+    at = new - (np.cumsum(starts) - starts)[of]
+    last = offset[of] - number * BLOCK  # the last start of a whole block of that number
+    ranges, base = Ranges(piece_hashes(raw)), first[of]
+    core = ranges.of(base + last, base + last - BLOCK + 1 + LENGTH, number)
+    whole = ranges.of(base + at, base + at + n + LENGTH - 1, offset[of] - at)
+    return of, core, whole, at, n
 
 
 def longest_previous_factor(position: list[int], lcp: list[int]) -> list[int]:
@@ -112,169 +159,167 @@ def longest_previous_factor(position: list[int], lcp: list[int]) -> list[int]:
     return out
 
 
-def repeated_starts(texts: list[bytes]) -> list[np.ndarray]:
-    """Which string starts of each text, the texts in order of position, have a longest previous factor of LENGTH bytes."""
-    counts = np.array([len(x) - LENGTH + 1 for x in texts])
-    ends = np.cumsum([len(x) for x in texts])
-    starts = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(ends - [len(x) for x in texts], counts)
-    wide = -(-LENGTH // 8) * 8
-    raw = np.frombuffer(b"".join(texts) + bytes(wide), np.uint8)
-    strings = np.zeros((len(starts), wide), np.uint8)
-    strings[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(raw, LENGTH)[starts]
-    order = np.lexsort(strings.view(">u8").astype(np.uint64).T[::-1])
-    ranked = strings[order, :LENGTH]
-    same = ranked[1:] == ranked[:-1]
-    lcp = np.r_[0, np.where(same.all(1), LENGTH, same.argmin(1))] if len(order) else np.zeros(0, int)
+def later_copies(strings: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which of the strings, rows of LENGTH bytes in suffix order (equal ones by id and start), have a longest previous factor of LENGTH bytes."""
+    flags = np.zeros(len(strings), bool)
+    if len(strings) < 2:
+        return flags
+    same = strings[1:] == strings[:-1]
+    lcp = np.r_[0, np.where(same.all(1), LENGTH, same.argmin(1))]
     # only ranks next to an equal string can have a factor of that length
     equal = lcp >= LENGTH
     some = np.flatnonzero(equal | np.r_[equal[1:], False])
-    factor = longest_previous_factor(order[some].tolist(), lcp[some].tolist())
-    flags = np.zeros(len(starts), bool)
-    flags[order[some]] = np.array(factor, np.int64) >= LENGTH
-    return np.split(flags, np.cumsum(counts)[:-1])
+    position = np.empty(len(some), np.int64)
+    position[np.lexsort((starts[some], ids[some]))] = np.arange(len(some))
+    factor = longest_previous_factor(position.tolist(), lcp[some].tolist())
+    flags[some] = np.array(factor, np.int64) >= LENGTH
+    return flags
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(np.r_[False, flags, False]))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+def _light(docs: DataFrame) -> DataFrame:
+    """(hash, bytes, id, packed) of every context; packed holds its start, number of starts and the piece's offset."""
 
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        text, h, whole, start, count, offset = contexts(batch.column(1).to_pylist())
+        return pa.record_batch([pa.array(h), pa.array(whole), batch.column(0).take(pa.array(text)), pa.array(start << 16 | count << 8 | offset)], names=["hash", "bytes", "id", "packed"])
 
-def _pieces(docs: DataFrame) -> DataFrame:
-    """(hash, id, packed): packed holds start, number of starts and offset of the piece."""
+    return map_batches(docs.select("id", "raw"), run, "hash long, bytes long, id long, packed long")
+
+
+def _read(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, packed, context) with the bytes of the wanted contexts. What is gathered for an id is bounded by its text."""
+    lists = wanted.groupBy("id").agg(F.collect_list("packed").alias("at"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text, h, start, count, offset = contexts(batch.column(1).to_pylist())
-        return pa.record_batch([pa.array(h), batch.column(0).take(pa.array(text)), pa.array(start << 16 | count << 8 | offset)], names=["hash", "id", "packed"])
+        ids, packed, parts = [], [], []
+        for i, raw, at in zip(batch.column("id").to_pylist(), batch.column("raw"), batch.column("at").to_pylist(), strict=True):
+            raw = raw.as_py()
+            ids += [i] * len(at)
+            packed += at
+            parts += [raw[p >> 16 : (p >> 16) + (p >> 8 & 255) + LENGTH - 1] for p in at]
+        return pa.record_batch([pa.array(ids, pa.int64()), pa.array(packed, pa.int64()), pa.array(parts, pa.binary())], names=["id", "packed", "context"])
 
-    return map_batches(docs.select("id", "raw"), run, "hash long, id long, packed long")
+    return map_batches(docs.select("id", "raw").join(lists, "id"), run, "id long, packed long, context binary")
 
 
-def _contexts(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """(hash, offset, id, start, starts, c1, c2, context) of every context with a shared piece."""
-    wanted = shared.groupBy("id").agg(F.collect_list(F.struct("hash", "packed")).alias("at"))
+def _blocks(texts: DataFrame) -> DataFrame:
+    """(core, whole, id, place) of the contexts' blocks; place holds packed, the block's first start in the context and its number of starts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["hash", "offset", "id", "start", "starts", "c1", "c2", "context"]
-        for batch in batches:
-            rows: list[tuple] = []
-            size = 0
-            for i, raw, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                raw, values = raw.as_py(), at.values
-                for h, packed in zip(values.field("hash").to_pylist(), values.field("packed").to_pylist(), strict=True):
-                    start, count, offset = packed >> 16, packed >> 8 & 255, packed & 255
-                    part = raw[start : start + count + LENGTH - 1]
-                    d = hashlib.blake2b(part + bytes([offset]), digest_size=16).digest()
-                    rows.append((h, offset, i, start, count, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), part))
-                    size += len(part)
-                if size > 8 << 20:
-                    yield pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names=names)
-                    rows, size = [], 0
-            if rows:
-                yield pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names=names)
-
-    return docs.select("id", "raw").join(wanted, "id").mapInArrow(run, "hash long, offset long, id long, start long, starts long, c1 long, c2 long, context binary")
-
-
-def _factors(groups: DataFrame) -> DataFrame:
-    """(id, from, to) runs of repeated starts among the different contexts of each piece; groups must hold whole pieces in one partition, in order of hash."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, packed, parts = batch.column("id").to_numpy(), batch.column("packed").to_numpy(), batch.column("context").to_pylist()
+        lengths = np.array([len(x) for x in parts])
+        of, core, whole, at, n = blocks(b"".join(parts), np.cumsum(lengths) - lengths, packed >> 8 & 255, packed & 255)
+        return pa.record_batch([pa.array(core), pa.array(whole), pa.array(ids[of]), pa.array(packed[of] << 16 | at << 8 | n)], names=["core", "whole", "id", "place"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, int, bytes]] = []
-        total = 0
+    return map_batches(texts.select("id", "packed", "context"), run, "core long, whole long, id long, place long")
 
-        def found() -> pa.RecordBatch:
-            held.sort(key=lambda r: (r[1], r[2]))
-            out = [(i, s + a, s + b) for (_, i, s, _), flags in zip(held, repeated_starts([r[3] for r in held]), strict=True) for a, b in _runs(flags)]
-            columns = zip(*out, strict=True) if out else ((), (), ())
-            return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["id", "from", "to"])
 
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("hash", "id", "start", "context")), strict=True):
-                if total > STARTS and row[0] != held[-1][0]:
-                    yield found()
-                    held.clear()
-                    total = 0
-                held.append(row)
-                total += len(row[3]) - LENGTH + 1
-        if held:
-            yield found()
+def _ordered(strings: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(strings), -(-LENGTH // 8) * 8), np.uint8)
+    wide[:, :LENGTH] = strings
+    return np.lexsort((starts, ids, *wide.view(">u8").T[::-1]))
 
-    return groups.select("hash", "id", "start", "context").mapInArrow(run, "id long, `from` long, `to` long")
 
+def _distinct(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which rows, in order, are of another place than the row before: rows of a document that is there twice are one."""
+    return np.r_[True, (np.diff(ids) != 0) | (np.diff(starts) != 0)] if len(ids) else np.zeros(0, bool)
 
-def _blocks(groups: DataFrame) -> DataFrame:
-    """(core, f1, f2, id, start, context) of the contexts' aligned blocks of up to BLOCK starts.
 
-    A start's place is its distance from the piece, so equal strings are in blocks of one number. core hashes the bytes that every string
-    of that number has, f1 and f2 all bytes of the block's strings."""
+def _strings(texts: DataFrame, left: DataFrame) -> DataFrame:
+    """(string, id, start, stop) of the starts of the blocks that are left: a string with its start, or without one a run of starts that are later copies among the task's own."""
+    lists = left.select("id", F.shiftright("place", 16).alias("packed"), "place").groupBy("id", "packed").agg(F.collect_list("place").alias("places"))
+    names = ["string", "id", "start", "stop"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            strings, ids, starts = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = _ordered(strings, ids, starts)
+            strings, ids, starts = strings[order], ids[order], starts[order]
+            once = _distinct(ids, starts)
+            strings, ids, starts = strings[once], ids[once], starts[once]
+            later = later_copies(strings, ids, starts)
+            n = int((~later).sum())
+            flat = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * LENGTH).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(strings[~later]))])
+            yield pa.record_batch([flat, pa.array(ids[~later]), pa.array(starts[~later]), pa.array(starts[~later] + 1)], names=names)
+            order = np.lexsort((starts[later], ids[later]))
+            i, s = ids[later][order], starts[later][order]
+            new = np.flatnonzero(np.r_[True, (np.diff(i) != 0) | (np.diff(s) != 1)]) if len(i) else np.zeros(0, int)
+            yield pa.record_batch([pa.nulls(len(new), pa.binary()), pa.array(i[new]), pa.array(s[new]), pa.array(s[np.r_[new[1:] - 1, len(s) - 1]] + 1 if len(new) else s)], names=names)
+
+        count = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                rows = []
-                for i, s, offset, raw in zip(*(batch.slice(at, 2000).column(c).to_pylist() for c in ("id", "start", "offset", "context")), strict=True):
-                    n, a = len(raw) - LENGTH + 1, 0
-                    while a < n:
-                        number = (offset - a) // BLOCK
-                        b = min(n, offset - number * BLOCK + 1)
-                        shared = raw[offset - number * BLOCK : offset - number * BLOCK - BLOCK + 1 + LENGTH]
-                        part = raw[a : b - 1 + LENGTH]
-                        f = hashlib.blake2b(part, digest_size=16, salt=bytes([offset - a])).digest()
-                        rows.append((xxhash.xxh3_64_intdigest(shared, number) - (1 << 63), int.from_bytes(f[:8], "little", signed=True), int.from_bytes(f[8:], "little", signed=True), i, s + a, part))
-                        a = b
-                yield pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names=["core", "f1", "f2", "id", "start", "context"])
-
-    return groups.select("id", "start", "offset", "context").mapInArrow(run, "core long, f1 long, f2 long, id long, start long, context binary")
-
-
-def _strings(groups: DataFrame) -> DataFrame:
-    """(s1, s2, id, start): a hash of every string of the contexts."""
+            for i, packed, raw, places in zip(*(batch.column(c).to_pylist() for c in ("id", "packed", "context", "places")), strict=True):
+                at = np.concatenate([np.arange(p >> 8 & 255, (p >> 8 & 255) + (p & 255)) for p in set(places)])
+                held.append((np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), LENGTH)[at], np.full(len(at), i), (packed >> 16) + at))
+                count += len(at)
+                if count >= CHUNK:
+                    yield from found()
+                    count = 0
+        if held:
+            yield from found()
+
+    both = texts.join(lists, ["id", "packed"]).select("id", "packed", "context", "places")
+    bound_batches(texts.sparkSession)
+    return both.mapInArrow(run, "string binary, id long, start long, stop long")
+
+
+def _factors(ranges: DataFrame) -> DataFrame:
+    """(id, from, to) of the later copies; ranges must be in order of string, id and start, equal strings in one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: tuple[np.ndarray, ...] = (np.zeros((0, LENGTH), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part, hashes, ids, starts = batch.slice(at, 1000), [], [], []
-                for i, s, raw in zip(*(part.column(c).to_pylist() for c in ("id", "start", "context")), strict=True):
-                    n = len(raw) - LENGTH + 1
-                    hashes += [hashlib.blake2b(raw[k : k + LENGTH], digest_size=16).digest() for k in range(n)]
-                    ids += [i] * n
-                    starts += range(s, s + n)
-                both = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
-                yield pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(ids, pa.int64()), pa.array(starts, pa.int64())], names=["s1", "s2", "id", "start"])
-
-    return groups.select("id", "start", "context").mapInArrow(run, "s1 long, s2 long, id long, start long")
+            if not batch.num_rows:
+                continue
+            column = batch.column("string")
+            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + 1]
+            raw = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[0] + LENGTH * batch.num_rows]
+            mine = (raw.reshape(-1, LENGTH), batch.column("id").to_numpy(), batch.column("start").to_numpy())
+            # the row before stands for all earlier ones: of equal strings each rank's previous smaller position is the rank before
+            strings, ids, starts = (np.concatenate(x) for x in zip(before, mine, strict=True))
+            flags = later_copies(strings, ids, starts) & _distinct(ids, starts)
+            flags[: len(before[0])] = False
+            yield pa.record_batch([pa.array(ids[flags]), pa.array(starts[flags]), pa.array(starts[flags] + 1)], names=["id", "from", "to"])
+            before = (strings[-1:].copy(), ids[-1:], starts[-1:])
+
+    bound_batches(ranges.sparkSession)
+    return ranges.select("string", "id", "start").mapInArrow(run, "id long, `from` long, `to` long")
 
 
 def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, from, to): string starts, from to before to, that are later copies. docs: id, raw; texts must differ."""
-    pieces = _pieces(docs)
-    often = scratch.cut(pieces.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
-    shared = pieces.join(often, "hash", "left_semi")
-    every = scratch.cut(_contexts(docs, shared))
-    me = F.struct("id", "start")
-    first = scratch.cut(every.groupBy("c1", "c2").agg(F.min(me).alias("first"), F.count("*").alias("n")).where("n > 1").select("c1", "c2", F.col("first.id").alias("f_id"), F.col("first.start").alias("f_start")))
-    light = every.select("c1", "c2", "id", "start", "starts").join(first, ["c1", "c2"])
-    copies = light.where("id <> f_id OR start <> f_start").select("id", F.col("start").alias("from"), (F.col("start") + F.col("starts")).alias("to"))
-    # the different contexts: those that occur once, and the first of the others
-    different = every.join(first, ["c1", "c2"], "left").where("f_id IS NULL OR (id = f_id AND start = f_start)").select("hash", "id", "start", "offset", "context")
-    different = scratch.cut(different)
-    sizes = scratch.cut(different.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"))
-    small = different.join(sizes.where(F.col("n") <= GROUP), "hash").drop("n")
-    factors = _factors(small.repartition("hash").sortWithinPartitions("hash"))
-    hot = different.join(sizes.where(F.col("n") > GROUP), "hash").drop("n")
-    # of a hot piece, only blocks whose common bytes occur twice can hold a copy; equal blocks go whole, the others string by string
-    blocks = _blocks(hot)
-    common = scratch.cut(blocks.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"))
-    near = scratch.cut(blocks.join(common, "core", "left_semi").drop("core"))
-    first_block = scratch.cut(near.groupBy("f1", "f2").agg(F.min(me).alias("first"), F.count("*").alias("n")).where("n > 1").select("f1", "f2", F.col("first.id").alias("f_id"), F.col("first.start").alias("f_start")))
-    judged = scratch.cut(near.join(first_block, ["f1", "f2"], "left").withColumn("later", F.coalesce(F.expr("id <> f_id OR start <> f_start"), F.lit(False))).drop("f_id", "f_start"))
-    later_blocks = judged.where("later").select("id", F.col("start").alias("from"), (F.col("start") + F.octet_length("context") - (LENGTH - 1)).alias("to"))
-    strings = _strings(judged.where("NOT later"))
-    firsts = scratch.cut(strings.groupBy("s1", "s2").agg(F.min(me).alias("first"), F.count("*").alias("n")).where("n > 1").select("s1", "s2", F.col("first.id").alias("f_id"), F.col("first.start").alias("f_start")))
-    later = strings.join(firsts, ["s1", "s2"]).where("id <> f_id OR start <> f_start").select("id", F.col("start").alias("from"), (F.col("start") + 1).alias("to"))
-    found = scratch.cut(copies.unionByName(factors).unionByName(later_blocks).unionByName(later))
-    scratch.drop(often, every, first, different, sizes, common, near, first_block, judged, firsts)
-    return found
+    """(id, from, to): string starts, from to before to, that are later copies. docs: id, raw; an id has one text."""
+    light = _light(docs)
+    often = light.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    every = scratch.cut(light.join(often, "hash", "left_semi"))
+    first = F.min(F.struct("id", "packed")).alias("first")
+    firsts = scratch.cut(every.groupBy("hash", "bytes").agg(first, F.count("*").alias("n")).select("hash", "bytes", F.col("first.id").alias("f_id"), F.col("first.packed").alias("f_packed"), "n"))
+    start = F.shiftright("packed", 16)
+    copies = every.join(firsts.where("n > 1"), ["hash", "bytes"]).where("id <> f_id OR packed <> f_packed").select("id", start.alias("from"), (start + F.shiftright("packed", 8).bitwiseAND(255)).alias("to"))
+    found = [scratch.cut(copies)]
+    scratch.drop(every)
+    several = firsts.groupBy("hash").agg(F.count("*").alias("g")).where("g > 1").select("hash")
+    wanted = firsts.join(several, "hash", "left_semi").select(F.col("f_id").alias("id"), F.col("f_packed").alias("packed"))
+    texts = scratch.cut(_read(docs, wanted))
+    scratch.drop(firsts)
+    cut = _blocks(texts)
+    common = cut.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    near = scratch.cut(cut.join(common, "core", "left_semi"))
+    first = F.min(F.struct("id", "place")).alias("first")
+    firsts = scratch.cut(near.groupBy("core", "whole").agg(first, F.count("*").alias("n")).select("core", "whole", F.col("first.id").alias("f_id"), F.col("first.place").alias("f_place"), "n"))
+    start = F.shiftright("place", 32) + F.shiftright("place", 8).bitwiseAND(255)
+    equal = near.join(firsts.where("n > 1"), ["core", "whole"]).where("id <> f_id OR place <> f_place").select("id", start.alias("from"), (start + F.col("place").bitwiseAND(255)).alias("to"))
+    found.append(scratch.cut(equal))
+    scratch.drop(near)
+    several = firsts.groupBy("core").agg(F.count("*").alias("g")).where("g > 1").select("core")
+    left = firsts.join(several, "core", "left_semi").select(F.col("f_id").alias("id"), F.col("f_place").alias("place"))
+    strings = scratch.cut(_strings(texts, left))
+    scratch.drop(texts, firsts)
+    found.append(strings.where("string IS NULL").select("id", F.col("start").alias("from"), F.col("stop").alias("to")))
+    found.append(scratch.cut(_factors(strings.where("string IS NOT NULL").repartitionByRange("string").sortWithinPartitions("string", "id", "start"))))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
 
 
 def _kept(raw: bytes, runs: list[dict]) -> tuple[bytes, list[tuple[int, int]]]:
@@ -289,7 +334,7 @@ def _kept(raw: bytes, runs: list[dict]) -> tuple[bytes, list[tuple[int, int]]]:
     for a, b in spans:
         out.append(raw[at:a])
         at = b
-    return b"".join([*out, raw[at:]]), [tuple(s) for s in spans]
+    return b"".join([*out, raw[at:]]), [(a, b) for a, b in spans]
 
 
 def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> str:
@@ -310,13 +355,12 @@ def dedup(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
     is left, spans drawn in to whole characters; the counts and the checksum are of bytes."""
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     docs = df.select(F.col(id_col).cast("long").alias("id"), raw.alias("raw"), *(F.col(c).alias(f"keep_{c}") for c in keep))
-    hashed = docs.select("id", "raw", F.octet_length("raw").alias("n"), F.xxhash64("raw").alias("h"), F.xxhash64(F.lit(1), "raw").alias("g")).where(F.col("n") >= LENGTH)
-    whole = scratch.cut(hashed.groupBy("h", "g", "n").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most"))
-    copies = scratch.cut(hashed.select("id", "h", "g", "n").join(whole, ["h", "g", "n"]).where("id > least").select("id", "n").distinct())
-    unlike = docs.select("id", "raw").where((F.octet_length("raw") >= LENGTH) & F.col("id").isNotNull()).join(copies.select("id"), "id", "left_anti")
-    found = repeats(unlike, scratch)
-    of_copies = copies.select("id", F.lit(0).cast("long").alias("from"), (F.col("n") - LENGTH + 1).cast("long").alias("to"))
-    runs = found.unionByName(of_copies).groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("runs"))
+    placed = docs.select("id", "raw").where("id IS NOT NULL")
+    texts = placed.select("id", F.xxhash64("raw").alias("h"), F.octet_length("raw").alias("n"))
+    several = scratch.cut(texts.groupBy("id").agg(F.min(F.struct("h", "n")).alias("lo"), F.max(F.struct("h", "n")).alias("hi")).where("lo <> hi").select("id"))
+    if not several.isEmpty():
+        placed = placed.join(several, "id", "left_anti")
+    runs = repeats(placed.where(F.octet_length("raw") >= LENGTH), scratch).groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("runs"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns: list[list] = [[], [], [], [], [], []]
