@@ -1,114 +1,165 @@
-"""Byte-level BPE encoding and decoding over Arrow batches.
+"""Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
-``encode`` gives ids and the byte offset of each id; ``decode`` reverses the byte table, so that a character split over
-several ids comes back whole once all its bytes are there. Ids follow the ranks of a ``.tiktoken`` file whose path is a
-parameter; each match of the split pattern is encoded separately and no special token is recognised.
+The library's model is built from the ranks of a ``.tiktoken`` file whose path is a parameter: a byte table gives each byte a printable character, so that
+every token is a string, and each way to put a token together from two others is a merge of the token's rank. Every match of the split pattern is encoded
+by itself; a match that is a token is that token. No special token is recognised, so their strings in a text are ordinary text.
 
-Null text counts as empty (no ids, empty text); empty text has no ids; ids that the table lacks decode to nothing when
-``errors='ignore'`` and raise KeyError otherwise. Repeated rows and any further columns don't matter: only the named columns are read.
+Ids come with two places: the byte at which the token starts, from the byte table, and the character it starts in, from the library's offsets. ``decode`` reverses
+the byte table; a character split over several ids appears with the id that completes it.
+
+Null text counts as empty (no ids, empty text); empty text has no ids; ids that the table lacks decode to nothing when ``errors='ignore'`` and raise KeyError
+otherwise, as do null ids; null ``ids`` count as none. Repeated rows and any further columns don't matter: only the named columns are read. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
+import os
 from functools import lru_cache
+from typing import NamedTuple
 
-import pyarrow as pa
 import public_tokenizers
-import tiktoken
+import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import map_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-
-@lru_cache(maxsize=2)
-def encoding(path: str, pattern: str) -> tiktoken.Encoding:
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+#: Words whose ids a worker keeps, and the longest that it keeps, in characters; others are encoded each time.
+REMEMBERED, KEPT_LENGTH = 100_000, 64
 
 
 @lru_cache(maxsize=1)
 def byte_characters() -> tuple[str, ...]:
     """The printable character that stands for each byte: itself where printable, else the next free one from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     spare = iter(range(256, 512))
     return tuple(chr(b) if b in shown else chr(next(spare)) for b in range(256))
 
 
 def visible(token: bytes) -> str:
-    """A token's bytes as the characters that vocabulary files print for them."""
+    """A token's bytes as characters."""
     table = byte_characters()
     return "".join(table[b] for b in token)
 
 
+@lru_cache(maxsize=1)
+def _bytes_of() -> dict[str, int]:
+    return {c: b for b, c in enumerate(byte_characters())}
+
+
 def from_visible(token: str) -> bytes:
-    table = {c: b for b, c in enumerate(byte_characters())}
-    return bytes(table[c] for c in token)
-
-
-def encode_text(enc: tiktoken.Encoding, text: str) -> list[int]:
-    """The library's ids. Its splitter overflows its stack on very long runs of white space; such a text is split here by
-    the same pattern, and each match encoded as a piece."""
-    try:
-        return enc.encode_ordinary(text)
-    except BaseException as error:  # the library's panic is no Exception
-        if type(error).__name__ != "PanicException":
-            raise
-    import regex
-
-    out: list[int] = []
-    for match in regex.finditer(enc._pat_str, text):
-        out += enc._encode_single_piece(match[0].encode())
+    return bytes(map(_bytes_of().__getitem__, token))
+
+
+def merges(ranks: dict[bytes, int]) -> list[tuple[str, str]]:
+    """All pairs of tokens that make a token, in the order of its rank."""
+    out = []
+    for token, _ in sorted(ranks.items(), key=lambda x: x[1]):
+        pairs = [(token[:i], token[i:]) for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]
+        out += [(visible(a), visible(b)) for a, b in sorted(pairs, key=lambda p: (ranks[p[0]], ranks[p[1]]))]
     return out
 
 
-def decode_ids(enc: tiktoken.Encoding, ids: list[int], errors: str = "strict") -> bytes:
-    if errors == "ignore":
-        ids = [i for i in ids if 0 <= i < enc.n_vocab]
-    return enc.decode_bytes(ids)
+class Word(NamedTuple):
+    """Ids of a match, the bytes of each, and the character that each starts in."""
+
+    ids: tuple[int, ...]
+    sizes: tuple[int, ...]
+    characters: tuple[int, ...]
+    #: The ids in decimal, and what they decode to.
+    written: str
+    decoded: bytes
+
+
+class Codec:
+    def __init__(self, path: str, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        vocabulary = {visible(token): rank for token, rank in ranks.items()}
+        self.library = Tokenizer(models.BPE(vocab=vocabulary, merges=merges(ranks), ignore_merges=True))
+        self.library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)
+        self.tokens = {rank: from_visible(token) for token, rank in vocabulary.items()}
+        self.pattern, self.known = regex.compile(pattern), {}
+
+    def words(self, texts: list[str]) -> list[list[Word]]:
+        """The encoded matches of each text."""
+        found = [self.pattern.findall(x) for x in texts]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = list({w for words in found for w in words} - self.known.keys())
+        fresh = {w: self._word(e) for i in range(0, len(new), 1000) for w, e in zip(new[i : i + 1000], self.library.encode_batch(new[i : i + 1000], add_special_tokens=False), strict=True)}
+        out = [[self.known.get(w) or fresh[w] for w in words] for words in found]
+        self.known.update((w, x) for w, x in fresh.items() if len(w) <= KEPT_LENGTH)
+        return out
+
+    def _word(self, encoding) -> Word:
+        ids = encoding.ids
+        parts = [self.tokens[i] for i in ids]
+        return Word(tuple(ids), tuple(map(len, parts)), tuple(a for a, _ in encoding.offsets), ",".join(map(str, ids)), b"".join(parts))
+
+    def encode(self, text: str) -> tuple[list[int], list[int], list[int]]:
+        """Ids, and the byte and the character at which each starts."""
+        ids, starts, characters, byte = [], [], [], 0
+        places = (m.start() for m in self.pattern.finditer(text))
+        for word, at in zip(self.words([text])[0], places, strict=True):
+            ids += word.ids
+            for size, character in zip(word.sizes, word.characters, strict=True):
+                starts.append(byte)
+                characters.append(at + character)
+                byte += size
+        return ids, starts, characters
+
+    def decode(self, ids: list[int], errors: str = "strict") -> bytes:
+        if errors == "ignore":
+            ids = [i for i in ids if i in self.tokens]
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+    def pieces(self, ids: list[int]) -> list[str]:
+        """The characters that each id completes; bytes that are no UTF-8 come as the replacement character."""
+        whole = codecs.getincrementaldecoder("utf-8")("replace")
+        return [whole.decode(self.tokens.get(i, b""), final=k == len(ids) - 1) for k, i in enumerate(ids)]
 
 
-def offsets(enc: tiktoken.Encoding, ids: list[int]) -> list[int]:
-    """The byte at which each id's token starts."""
-    out, at = [], 0
-    for token in enc.decode_tokens_bytes(ids):
-        out.append(at)
-        at += len(token)
-    return out
+@lru_cache(maxsize=2)
+def codec(path: str, pattern: str) -> Codec:
+    return Codec(path, pattern)
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = "", pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """(id, ids array<int>, starts array<int>) of each row."""
+    """(id, ids array<int>, starts array<long>, characters array<long>) of each row."""
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc = encoding(path, pattern)
-        ids = [encode_text(enc, x.as_py() or "") for x in batch.column(1)]
-        starts = [offsets(enc, x) for x in ids]
-        return pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(starts, pa.list_(pa.int32()))], names=[id_col, "ids", "starts"])
+        found = [codec(path, pattern).encode(x.as_py() or "") for x in batch.column(1)]
+        columns = [pa.array([x[k] for x in found], pa.list_(kind)) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))]
+        return pa.record_batch([batch.column(0), *columns], names=[id_col, "ids", "starts", "characters"])
 
-    return map_batches(df.select(id_col, text_col), run, f"{id_col} {df.schema[id_col].dataType.simpleString()}, ids array<int>, starts array<int>")
+    return map_batches(df.select(id_col, text_col), run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, ids array<int>, starts array<long>, characters array<long>")
 
 
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str = "", errors: str = "strict") -> DataFrame:
-    """(id, bytes, text) of each row of ids; text is null where the bytes are not UTF-8."""
+    """(id, bytes, text, pieces) of each row of ids; text is null where the bytes are not UTF-8, pieces holds the characters that each id completes."""
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc = encoding(path, public_tokenizers.PATTERN)
-        raw = [decode_ids(enc, x.as_py() or [], errors) for x in batch.column(1)]
-        texts = []
+        own = codec(path, public_tokenizers.PATTERN)
+        ids = [x.as_py() or [] for x in batch.column(1)]
+        raw, texts = [own.decode(x, errors) for x in ids], []
         for x in raw:
             try:
                 texts.append(x.decode())
             except UnicodeDecodeError:
                 texts.append(None)
-        return pa.record_batch([batch.column(0), pa.array(raw, pa.binary()), pa.array(texts, pa.string())], names=[id_col, "bytes", "text"])
+        return pa.record_batch([batch.column(0), pa.array(raw, pa.binary()), pa.array(texts, pa.string()), pa.array([own.pieces(x) for x in ids], pa.list_(pa.string()))], names=[id_col, "bytes", "text", "pieces"])
 
-    return map_batches(df.select(id_col, ids_col), run, f"{id_col} {df.schema[id_col].dataType.simpleString()}, bytes binary, text string")
+    return map_batches(df.select(id_col, ids_col), run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, bytes binary, text string, pieces array<string>")
 
 
 def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = "", pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -116,17 +167,16 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc = encoding(path, pattern)
+        own, texts = codec(path, pattern), [x.as_py() or "" for x in batch.column(1)]
         counts, id_hashes, text_hashes, same = [], [], [], []
-        for x in batch.column(1):
-            text = x.as_py() or ""
-            ids = encode_text(enc, text)
-            back = enc.decode_bytes(ids)
-            counts.append(len(ids))
-            id_hashes.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-            text_hashes.append(hashlib.sha256(back).hexdigest())
-            same.append(back == text.encode())
-        return pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(id_hashes), pa.array(text_hashes), pa.array(same)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "same"])
+        for at in range(0, len(texts), 64):
+            for text, words in zip(texts[at : at + 64], own.words(texts[at : at + 64]), strict=True):
+                back = b"".join([w.decoded for w in words])
+                counts.append(sum([len(w.ids) for w in words]))
+                id_hashes.append(hashlib.sha256(",".join([w.written for w in words]).encode()).hexdigest())
+                text_hashes.append(hashlib.sha256(back).hexdigest())
+                same.append(back == text.encode())
+        return pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()), pa.array(text_hashes, pa.string()), pa.array(same, pa.bool_())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "same"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return map_batches(df.select(id_col, text_col), run, f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean")
+    return map_batches(df.select(id_col, text_col), run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean")
