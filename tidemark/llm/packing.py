@@ -1,15 +1,14 @@
 """Best-fit packing of token pieces into sequences of bounded length, by hierarchical residual packing.
 
-Each partition packs its own pieces best-fit, longest first, and is done with bins that are nearly full. Underfull bins go
-on as items: groups of partitions pack each other's leftovers again, level by level, until one group is left. Only (bin,
-fill) pairs travel between levels; pieces join the final places once.
-
-A group hands on at most ``carry`` bins, those with the most room; any others stay as they are, so nothing is dropped
-and a group never holds more than ``carry * fan_in`` rows. After best-fit at most one bin of a group is half empty or
-emptier, so what stays behind could hardly have been filled.
+Pieces are dealt by a hash, so that lengths mix whatever the table's order. Each task packs best-fit, longest first, ``group`` items at a time, and is done with bins that are
+nearly full. Underfull bins go on as items: groups of them pack each other's leftovers again, round by round, with fan_in times fewer groups each but no more than ``group``
+items in one, until one group has packed all that is left, or a round over several groups has merged nothing. Every underfull bin goes on, whatever their number; only (bin, fill) pairs travel
+between rounds, and pieces join the final places once.
 
+Ids are what the library gives for the text without further switches, so the special tokens' strings in a text are their ids.
 Null text counts as empty; an empty text is a piece of the closing id alone. A text longer than the capacity is cut into
-pieces of exactly the capacity and a remainder. An empty table gives no rows. Repeated rows are packed once each. Further columns are ignored.
+pieces of exactly the capacity and a remainder. An empty table gives no rows. Repeated rows are packed once each. Further columns are ignored; an id column named like another
+column of the result is an error.
 """
 
 from __future__ import annotations
@@ -33,28 +32,25 @@ CAPACITY = 4096
 CLOSING_ID = 1
 #: Bins with at most this much room are nearly full.
 NEARLY_FULL = 8
-CARRY = 1024
 FAN_IN = 16
-#: Items that one partition packs at a time.
+#: Items that one task packs at a time.
 GROUP = 200_000
 #: Chunks of text whose ids a worker remembers.
 REMEMBERED = 250_000
 SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
+PLACES = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-@lru_cache(maxsize=4)
-def tokenizer(path: str, special: bool = False):
-    """special: whether the special tokens' strings in a text stand for the tokens; else they are ordinary text."""
+@lru_cache(maxsize=2)
+def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(path)
-    out.encode_special_tokens = not special
-    return out
+    return Tokenizer.from_file(path)
 
 
 class Ids:
-    """Ids of texts as little-endian bytes. No token of this vocabulary spans white space, so each chunk between ASCII
+    """Ids of texts as little-endian bytes. No token of this vocabulary spans white space and no normaliser acts across it, so each chunk between ASCII
     white space is encoded by itself and remembered; chunks seen lately outlive a full memory."""
 
     def __init__(self, path: str):
@@ -76,9 +72,10 @@ class Ids:
 
     def _encoded(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         """Many chunks at a call, parted by a special token, at which the tokenizer parts texts before anything else."""
+        own = tokenizer(self.path)
         plain, out = [c for c in chunks if b"<|" not in c], {}
         lists = [plain[i : i + 1000] for i in range(0, len(plain), 1000)]
-        for part, e in zip(lists, tokenizer(self.path, True).encode_batch_fast([SEPARATOR.join(c.decode() for c in part) for part in lists], add_special_tokens=False), strict=True):
+        for part, e in zip(lists, own.encode_batch_fast([SEPARATOR.join(c.decode() for c in part) for part in lists], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<u4")
             raw, ends = ids.tobytes(), [*(4 * np.flatnonzero(ids == SEPARATOR_ID)).tolist(), 4 * len(ids)]
             at = 0
@@ -87,7 +84,7 @@ class Ids:
                 at = end + 4
         for c in chunks:
             if c not in out:
-                out[c] = np.array(tokenizer(self.path).encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+                out[c] = np.array(own.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         return out
 
 
@@ -111,7 +108,7 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         return pa.record_batch([batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=[id_col, "piece", "start", "length", "ids_crc32"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return map_batches(df.select(id_col, text_col), run, f"{id_col} {kind}, piece int, start long, length long, ids_crc32 long")
+    return map_batches(df.select(id_col, text_col), run, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,60 +137,68 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
     return which, offset, np.array(fill, np.int64)
 
 
-def _pack_partitions(items: DataFrame, size_col: str, level: int, capacity: int, carry: int) -> DataFrame:
-    """Adds bin (unique over levels and tasks), offset, fill, carried and task."""
+def _pack_tasks(items: DataFrame, size_col: str, level: int, capacity: int, group: int) -> DataFrame:
+    """Adds _bin (unique over levels, tasks and groups), _offset, _fill, _carried and _group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, bins, held, count = TaskContext.get().partitionId(), 0, [], 0
+        task, bins, held, count, number = TaskContext.get().partitionId(), 0, [], 0, 0
 
-        def packed() -> pa.RecordBatch:
-            nonlocal bins, held, count
+        def packed() -> Iterator[pa.RecordBatch]:
+            nonlocal bins, held, count, number
             rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             which, offset, fill = best_fit(rows.column(size_col).to_numpy(zero_copy_only=False), capacity)
-            by_fill = np.argsort(fill, kind="stable")[:carry]
-            carried = np.zeros(len(fill), bool)
-            carried[by_fill[fill[by_fill] < capacity - NEARLY_FULL]] = True
-            names = (level << 58) + (task << 32) + bins + which
-            bins, held, count = bins + len(fill), [], 0
-            return pa.record_batch([*rows.columns, pa.array(names), pa.array(offset), pa.array(fill[which]), pa.array(carried[which]), pa.array(np.full(len(which), task, np.int32))], names=[*rows.schema.names, "bin", "offset", "fill", "carried", "task"])
+            added = [(level << 58) + (task << 32) + bins + which, offset, fill[which], (fill < capacity - NEARLY_FULL)[which], np.full(len(which), (task << 20) + number)]
+            bins, held, count, number = bins + len(fill), [], 0, number + 1
+            out = pa.record_batch([*rows.columns, *map(pa.array, added)], names=[*rows.schema.names, "_bin", "_offset", "_fill", "_carried", "_group"])
+            for at in range(0, len(which), 10_000):
+                yield out.slice(at, 10_000)
 
         for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                count += batch.num_rows
-                if count >= GROUP:
-                    yield packed()
+            for at in range(0, batch.num_rows, group):
+                part = batch.slice(at, group)
+                if count and count + part.num_rows > group:
+                    yield from packed()
+                held.append(part)
+                count += part.num_rows
         if held:
-            yield packed()
+            yield from packed()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
-    return items.mapInArrow(run, f"{kinds}, bin long, offset long, fill long, carried boolean, task int")
+    return items.mapInArrow(run, f"{kinds}, _bin long, _offset long, _fill long, _carried boolean, _group long")
 
 
-def pack(items: DataFrame, size_col: str, scratch: Scratch, capacity: int = CAPACITY, carry: int = CARRY, fan_in: int = FAN_IN) -> DataFrame:
+def pack(items: DataFrame, size_col: str, scratch: Scratch, capacity: int = CAPACITY, fan_in: int = FAN_IN, group: int = GROUP) -> DataFrame:
     """The items with sequence_id and offset; every size must be from 1 to the capacity."""
-    first = scratch.cut(_pack_partitions(items, size_col, 0, capacity, carry))
-    groups = first.agg(F.countDistinct("task")).first()[0]
-    left = first.where("carried").select(F.col("bin").alias("item"), "fill").distinct()
-    moved = None
-    level = 1
-    while groups > 1:
-        groups = -(-groups // fan_in)
-        done = scratch.cut(_pack_partitions(left.repartition(groups).withColumnRenamed("fill", "size"), "size", level, capacity, carry))
-        step = done.select("item", F.col("bin").alias("to"), F.col("offset").alias("by"))
+    first = scratch.cut(_pack_tasks(items, size_col, 0, capacity, group))
+    underfull = lambda done: done.where("_carried").select(F.col("_bin").alias("item"), F.col("_fill").alias("size")).distinct()
+    groups, left, moved, level = first.agg(F.countDistinct("_group")).first()[0], scratch.cut(underfull(first)), None, 1
+    n = left.count()
+    while groups > 1 and n:
+        groups = max(-(-groups // fan_in), -(-n // group))
+        done = scratch.cut(_pack_tasks(left.repartition(groups, F.xxhash64("item", F.lit(level))), "size", level, capacity, group))
+        step = done.select("item", F.col("_bin").alias("to"), F.col("_offset").alias("by"))
         if moved is None:
             moved = step
         else:
             later = step.select(F.col("item").alias("to"), F.col("to").alias("then"), F.col("by").alias("more"))
             moved = moved.join(later, "to", "left").select("item", F.coalesce("then", "to").alias("to"), (F.col("by") + F.coalesce("more", F.lit(0))).alias("by"))
-        left = done.where("carried").select(F.col("bin").alias("item"), "fill").distinct()
+        scratch.drop(left)
+        left, before = scratch.cut(underfull(done)), n
+        n = left.count()
+        if n == before and done.where("NOT _carried").isEmpty():
+            break
         level += 1
-    keep = [c for c in items.columns if c not in ("bin", "offset", "fill", "carried", "task")]
+    scratch.drop(left)
+    keep = items.columns
     if moved is None:
-        return first.select(*keep, F.col("bin").alias("sequence_id"), "offset")
-    return first.join(moved.withColumnRenamed("item", "bin"), "bin", "left").select(*keep, F.coalesce("to", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("by", F.lit(0))).alias("offset"))
+        return first.select(*keep, F.col("_bin").alias("sequence_id"), F.col("_offset").alias("offset"))
+    placed = first.join(moved.withColumnRenamed("item", "_bin"), "_bin", "left")
+    return placed.select(*keep, F.coalesce("to", "_bin").alias("sequence_id"), (F.col("_offset") + F.coalesce("by", F.lit(0))).alias("offset"))
 
 
 def pack_documents(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", path: str = "", capacity: int = CAPACITY) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every document."""
-    return pack(pieces(df, id_col, text_col, path, capacity), "length", scratch, capacity)
+    if id_col in PLACES:
+        raise ValueError(f"{id_col} is a column of the result")
+    mixed = pieces(df, id_col, text_col, path, capacity).repartition(id_col, "piece", "ids_crc32")
+    return pack(mixed, "length", scratch, capacity)
