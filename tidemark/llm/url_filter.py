@@ -1,30 +1,33 @@
 """URL filters: longest-prefix rules, then a host-word model.
 
-Hosts are judged by words: each label is cut into words by unigram Viterbi over word counts of the pages' own text, and a
-multinomial naive Bayes over host words, path words and their classes scores the url. The naive Bayes learns from the urls
-that the rules decide, so it extends the rules' verdicts to urls that no rule fits.
+Where no rule fits, the words of a url are judged. Each letter run of host and path is cut into words by unigram Viterbi over word counts of the pages' own
+text; letters between words stay together as one unknown word. A multinomial naive Bayes over the words of host and path gives the odds of block.
 
-Null urls and urls without ``://`` have an empty host and path; no rule fits them and the method judges their lack of
-tokens by its prior. A-Z alone is lower-cased. An empty table gives no rows; without any rule-decided url the prior is
-even and the verdict is allow. Repeated rows are judged alike; further columns are ignored.
+There are no labels for urls. The naive Bayes takes as block examples the urls whose segmented host holds one of ``seeds``, words that name unwanted
+trade, and all others as allow examples, so that words that keep company with seeds count against a url too. Rules and their verdicts are
+no part of it: what they test (domains and the path's language) says nothing about a host's words.
+
+Null urls and urls without ``://`` have an empty host and path; no rule fits them and they are allowed unless block examples prevail. A-Z alone is lower-cased. An
+empty table gives no rows; without any block example the verdict is allow. Urls of any length are read whole; repeated rows are judged alike; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, map_batches
+from tidemark.llm.common import Scratch, bound_batches, map_batches
 
 #: (rule, verdict); a rule is a host and the start of a path.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-LONGEST_WORD = 20
+#: Words whose hosts are block examples.
+SEEDS = ("adserver", "ads", "bet", "bets", "casino", "escort", "gamble", "jackpot", "lottery", "payday", "pharma", "pills", "poker", "porn", "replica", "sex", "slots", "spam", "torrent", "tracker", "viagra", "warez", "xxx")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,16 +57,25 @@ def judged_by_rules(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES,
     return split.withColumn("found", _decided(F.col("host"), F.col("path"), rules)).select(id_col, "host", "path", "found.rule", "found.verdict")
 
 
-def _pieces(judged: DataFrame) -> DataFrame:
-    """The different strings (w) of up to LONGEST_WORD letters that the letter runs of hosts and paths contain."""
+def _pieces(judged: DataFrame, longest: int) -> DataFrame:
+    """The different strings (w) of up to ``longest`` letters that the letter runs of hosts and paths contain."""
     letters = lambda c: F.regexp_extract_all(F.translate(c, UPPER, LOWER), F.lit("([a-z]+)"), 1)
     runs = judged.select(F.explode(F.concat(letters("host"), letters("path"))).alias("run")).distinct()
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = {x[i:j] for x in batch.column(0).to_pylist() for i in range(len(x)) for j in range(i + 1, min(len(x), i + LONGEST_WORD) + 1)}
-        return pa.record_batch([pa.array(list(found), pa.string())], names=["w"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[str] = set()
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                for i in range(len(x)):
+                    found.update(x[i:j] for j in range(i + 1, min(len(x), i + longest) + 1))
+                    if len(found) > 100_000:
+                        yield pa.record_batch([pa.array(list(found), pa.string())], names=["w"])
+                        found.clear()
+        if found:
+            yield pa.record_batch([pa.array(list(found), pa.string())], names=["w"])
 
-    return map_batches(runs, run, "w string").distinct()
+    bound_batches(judged.sparkSession)
+    return runs.mapInArrow(run, "w string").distinct()
 
 
 def word_counts(pages: DataFrame, judged: DataFrame, scratch: Scratch, text_col: str = "html") -> tuple[dict[str, int], int]:
@@ -71,22 +83,22 @@ def word_counts(pages: DataFrame, judged: DataFrame, scratch: Scratch, text_col:
 
     Every page and word is counted in a table; what leaves it grows with the different words in urls, not with the text."""
     words = F.explode(F.split(F.lower(F.regexp_replace(F.col(text_col), r"<[^>]*>", " ")), r"\P{L}+"))
-    table = scratch.cut(pages.where(F.col(text_col).isNotNull()).select(words.alias("w")).where(F.length("w").between(1, LONGEST_WORD) & F.col("w").rlike("^[a-z]+$")).groupBy("w").agg(F.count("*").alias("n")))
-    total = table.agg(F.sum("n")).first()[0] or 0
-    found = table.join(_pieces(judged), "w", "left_semi").select("w", "n").toArrow()
+    table = scratch.cut(pages.where(F.col(text_col).isNotNull()).select(words.alias("w")).where(F.col("w").rlike("^[a-z]+$")).groupBy("w").agg(F.count("*").alias("n")))
+    total, longest = table.agg(F.sum("n"), F.max(F.length("w"))).first()
+    found = table.join(_pieces(judged, longest or 1), "w", "left_semi").select("w", "n").toArrow()
     scratch.drop(table)
-    return dict(zip(found.column("w").to_pylist(), found.column("n").to_pylist(), strict=True)), total
+    return dict(zip(found.column("w").to_pylist(), found.column("n").to_pylist(), strict=True)), total or 0
 
 
 class Segmenter:
-    """Unigram Viterbi: the split of a name with the highest product of word probabilities. A letter run that is no word costs ten times less per letter
-    than the rarest word, so that it is taken only where nothing else fits."""
+    """Unigram Viterbi: the split of a name with the highest product of word probabilities. A run of letters that is no word is one unknown word,
+    ten times rarer than the rarest word for its first letter and for each further one, so that it is taken only where nothing else fits."""
 
     def __init__(self, counts: dict[str, int], total: int | None = None):
         """total: the count of all words, where counts has only those that the names contain."""
         total = (sum(counts.values()) if total is None else total) + 1
         self.cost = {w: -math.log(n / total) for w, n in counts.items()}
-        self.unknown = math.log(total) + math.log(10)
+        self.unknown, self.letter = math.log(total), math.log(10)
         self.longest = max(map(len, counts), default=1)
         self.known: dict[str, list[str]] = {}
 
@@ -99,12 +111,15 @@ class Segmenter:
 
     def _split(self, run: str) -> list[str]:
         best: list[tuple[float, int]] = [(0.0, 0)]
+        # the best place for an unknown word to start: its cost grows by one letter's with each step
+        lowest = (0.0, 0)
         for end in range(1, len(run) + 1):
-            options = [(best[end - 1][0] + self.unknown, end - 1)]
+            options = [(lowest[0] + self.unknown + self.letter * end, lowest[1])]
             for start in range(max(0, end - self.longest), end):
                 if (cost := self.cost.get(run[start:end])) is not None:
                     options.append((best[start][0] + cost, start))
             best.append(min(options))
+            lowest = min(lowest, (best[end][0] - self.letter * end, end))
         out, end = [], len(run)
         while end:
             start = best[end][1]
@@ -114,34 +129,33 @@ class Segmenter:
 
 
 def tokens(segmenter: Segmenter, host: str, path: str) -> list[str]:
-    """Host words, the last label as it is, path words; digits count by their number."""
-    labels = host.split(".")
-    out = [f"tld:{labels[-1]}"] if host else []
-    out += [f"host:{w}" for w in segmenter.words(".".join(labels[:-1]))]
+    """Words of the host and of the path; digits count by their number."""
+    out = [f"host:{w}" for w in segmenter.words(host)]
     for part in re.findall(r"[A-Za-z]+|[0-9]+", path):
-        out += [f"digits:{min(len(part), 9)}"] if part.isdigit() else [f"path:{w}" for w in segmenter.words(part.lower())]
+        out += [f"digits:{len(part)}"] if part.isdigit() else [f"path:{w}" for w in segmenter.words(part.lower())]
     return out
 
 
-def _tokenised(decided: DataFrame, model: Broadcast, id_col: str) -> DataFrame:
+def _tokenised(judged: DataFrame, model: Broadcast, seeds: Sequence[str], id_col: str) -> DataFrame:
+    """Adds tokens, and whether the host holds a seed."""
     cut: list[Segmenter] = []
+    named = {f"host:{w}" for w in seeds}
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not cut:
             cut.append(Segmenter(*model.value))
         found = [tokens(cut[0], h, p) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
-        return pa.record_batch([*batch.columns, pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, "tokens"])
+        return pa.record_batch([*batch.columns, pa.array(found, pa.list_(pa.string())), pa.array([not named.isdisjoint(x) for x in found], pa.bool_())], names=[*batch.schema.names, "tokens", "seeded"])
 
-    kind = decided.schema[id_col].dataType.simpleString()
-    return map_batches(decided, run, f"{id_col} {kind}, host string, path string, rule string, verdict string, tokens array<string>")
+    kind = judged.schema[id_col].dataType.simpleString()
+    return map_batches(judged, run, f"`{id_col}` {kind}, host string, path string, rule string, verdict string, tokens array<string>, seeded boolean")
 
 
 def naive_bayes(tokenised: DataFrame) -> tuple[float, dict[str, float], float]:
-    """(prior, weight by token, weight of an unseen token) of block against allow, with add-one smoothing, over all urls that a rule decides and all their tokens."""
-    decided = tokenised.where(F.col("verdict").isNotNull())
-    block = (F.col("verdict") == "block").cast("long")
-    urls = decided.agg(F.count("*").alias("n"), F.sum(block).alias("block")).first()
-    by_token = decided.select(F.explode("tokens").alias("t"), block.alias("block")).groupBy("t").agg(F.count("*").alias("n"), F.sum("block").alias("block")).toArrow()
+    """(prior, weight by token, weight of an unseen token) of block against allow, with add-one smoothing, over all urls and all their tokens."""
+    block = F.col("seeded").cast("long")
+    urls = tokenised.agg(F.count("*").alias("n"), F.sum(block).alias("block")).first()
+    by_token = tokenised.select(F.explode("tokens").alias("t"), block.alias("block")).groupBy("t").agg(F.count("*").alias("n"), F.sum("block").alias("block")).toArrow()
     rows = list(zip(*(by_token.column(c).to_pylist() for c in ("t", "n", "block")), strict=True))
     blocked, allowed = sum(b for _, _, b in rows), sum(n - b for _, n, b in rows)
     size = len(rows) + 1
@@ -150,25 +164,23 @@ def naive_bayes(tokenised: DataFrame) -> tuple[float, dict[str, float], float]:
     return math.log((b + 1) / (n - b + 1)), {t: weight(b, n - b) for t, n, b in rows}, weight(0, 0)
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", text_col: str = "html") -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", seeds: Sequence[str] = SEEDS) -> DataFrame:
     """(id, host, path, rule, verdict, words, block_score): the longest rule's verdict, else block where the model's probability of block is over one half."""
-    decided = judged_by_rules(pages, rules, id_col, url_col)
+    decided, scratch = judged_by_rules(pages, rules, id_col, url_col), Scratch(pages.sparkSession)
     context = pages.sparkSession.sparkContext
-    model = context.broadcast(word_counts(pages, decided, Scratch(pages.sparkSession), text_col))
-    bayes = context.broadcast(naive_bayes(_tokenised(decided, model, id_col)))
-    cut: list[Segmenter] = []
+    # segmented once; what follows reads the written table
+    tokenised = scratch.cut(_tokenised(decided, context.broadcast(word_counts(pages, decided, scratch, text_col)), seeds, id_col))
+    bayes = naive_bayes(tokenised)
+    shared, seen = context.broadcast(bayes), bool(tokenised.where("seeded").take(1))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not cut:
-            cut.append(Segmenter(*model.value))
-        words, scores, (prior, weights, unseen) = [], [], bayes.value
-        for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True):
-            found = tokens(cut[0], h, p)
+        words, scores, (prior, weights, unseen) = [], [], shared.value
+        for found in batch.column("tokens").to_pylist():
             words.append(" ".join(found))
             odds = prior + sum(weights.get(t, unseen) for t in found)
-            scores.append(1 / (1 + math.exp(-max(-700.0, min(700.0, odds)))))
+            scores.append(1 / (1 + math.exp(-max(-700.0, min(700.0, odds)))) if seen else 0.0)
         verdict = [v or ("block" if s > 0.5 else "allow") for v, s in zip(batch.column("verdict").to_pylist(), scores, strict=True)]
-        return pa.record_batch([batch.column(id_col), batch.column("host"), batch.column("path"), batch.column("rule"), pa.array(verdict), pa.array(words), pa.array(scores)], names=[id_col, "host", "path", "rule", "verdict", "words", "block_score"])
+        return pa.record_batch([batch.column(id_col), batch.column("host"), batch.column("path"), batch.column("rule"), pa.array(verdict, pa.string()), pa.array(words, pa.string()), pa.array(scores, pa.float64())], names=[id_col, "host", "path", "rule", "verdict", "words", "block_score"])
 
     kind = decided.schema[id_col].dataType.simpleString()
-    return map_batches(decided, run, f"{id_col} {kind}, host string, path string, rule string, verdict string, words string, block_score double")
+    return map_batches(tokenised, run, f"`{id_col}` {kind}, host string, path string, rule string, verdict string, words string, block_score double")
