@@ -12,7 +12,7 @@ from tidemark import queries
 from tidemark.entities import CUSTOMERS
 from tidemark.plans import silver
 from tidemark.platform import errors, log
-from tidemark.platform.config import Logging, get_settings, merged, project_version
+from tidemark.platform.config import get_settings, merged, project_version, section
 from tidemark.platform.paths import Layout
 from tidemark.sources import change_log
 from tidemark.streaming import jobs
@@ -36,10 +36,11 @@ def test_layers_and_paths(tmp_path):
     assert (s.application.name, s.application.app_version, s.storage.lakehouse_root) == ("Test", "1.2.3", tmp_path / "l")
     assert get_settings("local", f"{tmp_path}/.") is s
     paths = Layout.of(s)
-    assert paths.bronze_job("customer", "customers") == (f"{tmp_path}/l/bronze/customer/cdc/customers/job", f"{tmp_path}/c/bronze/customer/cdc/customers/job")
-    assert paths.silver_job("customer", "customers", "canonical") == f"{tmp_path}/l/silver/customer/cdc/customers/canonical/job"
-    assert paths.snapshot_file("customer", "2024-01-01 10:00:00") == f"{tmp_path}/s/customer/2024-01-01_10-00-00.csv"
-    assert paths.reconciliation("customer", "customers", "run_summary") == f"{tmp_path}/l/ops/reconciliation/customer/customers/run_summary"
+    of = {"domain": "customer", "entity": "customers"}
+    assert paths.at("bronze_job", **of) == f"{tmp_path}/l/bronze/customer/cdc/customers/job" and paths.at("bronze_job_checkpoint", **of) == f"{tmp_path}/c/bronze/customer/cdc/customers/job"
+    assert paths.at("silver_job", dataset="canonical", **of) == f"{tmp_path}/l/silver/customer/cdc/customers/canonical/job"
+    assert paths.at("snapshot_file", domain="customer", cutoff="2024-01-01 10:00:00") == f"{tmp_path}/s/customer/2024-01-01_10-00-00.csv"
+    assert paths.at("reconciliation", dataset="run_summary", **of) == f"{tmp_path}/l/ops/reconciliation/customer/customers/run_summary"
 
 
 def test_object_store_takes_secrets_from_outside(tmp_path, monkeypatch):
@@ -49,11 +50,11 @@ def test_object_store_takes_secrets_from_outside(tmp_path, monkeypatch):
     (tmp_path / ".env").write_text("OBJECT_STORE_ACCESS_KEY=a\n")
     monkeypatch.setenv("OBJECT_STORE_SECRET_KEY", "k")
     s = get_settings("local", tmp_path)
-    assert s.storage.access_key == "a" and "k" not in repr(s.storage.secret_key)
-    assert Layout.of(s).checkpoint("silver", "x") == "s3a://b/checkpoints/silver/x"
+    assert s.storage.access_key == "a" and s.storage.secret_key == "k" and "'k'" not in repr(s.storage)
+    assert Layout.of(s).at("checkpoint", layer="silver", name="x") == "s3a://b/checkpoints/silver/x"
 
 
-@pytest.mark.parametrize("over", [{"spark": {"broadcast_size_mb": 10}}, {"reconciliation": {"bucket_count": 0}}, {"kafka": {"more": 1}}])
+@pytest.mark.parametrize("over", [{"spark": {"broadcast_size_mb": 10}}, {"reconciliation": {"bucket_count": 0}}, {"kafka": {"more": 1}}, {"spark": {"shuffle_partitions": "2"}}, {"application": {"environment": "x"}}, {"logging": None}])
 def test_wrong_values(tmp_path, over):
     write(tmp_path, **over)
     with pytest.raises(errors.ConfigurationValidationError):
@@ -82,7 +83,7 @@ def test_merge_changes_neither_side():
 
 def test_log_lines(tmp_path):
     for _ in range(2):
-        log.configure(Logging(level="INFO", format="json", log_directory=tmp_path, destination="file"))
+        log.configure(section("logging", {"level": "INFO", "format": "json", "log_directory": tmp_path, "destination": "file"}))
     log.get_logger("t").info("batch_done", rows=3)
     lines = (tmp_path / "tidemark.log").read_text().splitlines()
     assert len(lines) == 1 and json.loads(lines[0])["rows"] == 3 and json.loads(lines[0])["event"] == "batch_done"

@@ -31,8 +31,8 @@ class ReconciliationTables:
 
     @classmethod
     def of(cls, spark: SparkSession, layout: Layout, spec: EntitySpec) -> ReconciliationTables:
-        at = lambda name, **how: VersionedTable(spark, layout.reconciliation(DOMAIN, spec.name, name), **how)
-        history = VersionedTable(spark, layout.silver_job(DOMAIN, spec.name, "cdc_history"))
+        at = lambda name, **how: VersionedTable(spark, layout.at("reconciliation", domain=DOMAIN, entity=spec.name, dataset=name), **how)
+        history = VersionedTable(spark, layout.at("silver_job", domain=DOMAIN, entity=spec.name, dataset="cdc_history"))
         return cls(history, at("expected_state", key=(spec.key,), key_buckets=64), at("expected_state_metadata"), at("run_summary"), at("exception_detail"))
 
 
@@ -66,5 +66,5 @@ def run(spec: EntitySpec, as_of: str, environment: str = "local") -> Row:
         raise ValueError("a cutoff is needed")
     settings, spark = start(environment)
     layout = Layout.of(settings)
-    snapshot = snapshots.load(spark, layout.snapshot_file(spec.snapshot_folder, as_of), spec)
+    snapshot = snapshots.load(spark, layout.at("snapshot_file", domain=spec.snapshot_folder, cutoff=as_of), spec)
     return reconcile_snapshot(snapshot, spec, ReconciliationTables.of(spark, layout, spec), as_of, settings.reconciliation.bucket_count)

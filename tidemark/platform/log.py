@@ -7,7 +7,7 @@ import logging
 from datetime import UTC, datetime
 from typing import Any
 
-from tidemark.platform.config import Logging
+from tidemark.platform.config import Section
 
 ROOT = "tidemark"
 
@@ -42,7 +42,7 @@ def get_logger(name: str) -> EventLogger:
     return EventLogger(name)
 
 
-def configure(settings: Logging) -> None:
+def configure(settings: Section) -> None:
     """Replaces the handlers set before, so that a second call changes nothing else."""
     top = logging.getLogger(ROOT)
     for old in list(top.handlers):

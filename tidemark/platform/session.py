@@ -22,7 +22,7 @@ def get_session(settings: Settings) -> SparkSession:
         conf |= {
             "spark.hadoop.fs.s3a.endpoint": storage.endpoint,
             "spark.hadoop.fs.s3a.access.key": storage.access_key,
-            "spark.hadoop.fs.s3a.secret.key": storage.secret_key.get_secret_value(),
+            "spark.hadoop.fs.s3a.secret.key": str(storage.secret_key),
             "spark.hadoop.fs.s3a.path.style.access": "true",
         }
     return SparkSession.builder.appName(settings.application.name).master(spark.master).config(map=conf).getOrCreate()

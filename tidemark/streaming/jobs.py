@@ -44,7 +44,8 @@ def write_silver(bronze: DataFrame, spec: EntitySpec, tables: silver.SilverTable
 def run_bronze(entity: str, environment: str = "local", files: str | None = None) -> None:
     """files: a folder of records to read instead of Kafka."""
     spec, (settings, spark) = ENTITIES[entity], start(environment)
-    path, checkpoint = Layout.of(settings).bronze_job(DOMAIN, entity)
+    layout = Layout.of(settings)
+    path, checkpoint = (layout.at(place, domain=DOMAIN, entity=entity) for place in ("bronze_job", "bronze_job_checkpoint"))
     topic = getattr(settings.customer, spec.topic_setting)
     records = change_log.from_files(spark, files, topic) if files else change_log.from_kafka(spark, settings.kafka.bootstrap_servers, topic)
     write_bronze(entity, records, path, checkpoint)
@@ -53,5 +54,6 @@ def run_bronze(entity: str, environment: str = "local", files: str | None = None
 def run_silver(entity: str, environment: str = "local") -> None:
     spec, (settings, spark) = ENTITIES[entity], start(environment)
     layout = Layout.of(settings)
-    tables = silver.SilverTables.at(spark, lambda name: layout.silver_job(DOMAIN, entity, name), spec.key)
-    write_silver(read_bronze(spark, layout.bronze_job(DOMAIN, entity)[0]), spec, tables, layout.silver_checkpoint(DOMAIN, entity))
+    tables = silver.SilverTables.at(spark, lambda name: layout.at("silver_job", domain=DOMAIN, entity=entity, dataset=name), spec.key)
+    of = {"domain": DOMAIN, "entity": entity}
+    write_silver(read_bronze(spark, layout.at("bronze_job", **of)), spec, tables, layout.at("silver_job_checkpoint", **of))
