@@ -27,7 +27,7 @@ PER_LANGUAGE = 1500
 MAX_N = 4
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 
 
 class Model:

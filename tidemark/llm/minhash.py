@@ -32,7 +32,7 @@ PERCENT = 80
 HASHES = 128
 #: Standard deviations from a linked pair's mean distance within which it is searched.
 DEVIATIONS = 4.75
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 _rng = np.random.default_rng(20)
 _ODD = _rng.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _MUL = _rng.integers(0, 1 << 63, (HASHES,), np.uint64) * np.uint64(2) + np.uint64(1)

@@ -36,7 +36,7 @@ FAN_IN = 16
 #: Items that one task packs at a time.
 GROUP = 200_000
 #: Chunks of text whose ids a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 PLACES = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

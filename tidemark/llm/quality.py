@@ -32,18 +32,21 @@ NONZERO = 6
 WINDOW = 2
 HIDDEN = 24
 THRESHOLD = 0.3
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 PIECE = 64
 EDGES = re.compile(r"^\W+|\W+$")
 
 
-def index_vectors(words: list[str]) -> np.ndarray:
-    """For each word NONZERO entries of plus or minus one; places and signs from a hash of the word."""
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
-    out = np.zeros((len(words), DIM), np.float32)
+def hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+
+
+def index_vectors(h: np.ndarray) -> np.ndarray:
+    """For each word's hash NONZERO entries of plus or minus one, places and signs from the hash."""
+    out = np.zeros((len(h), DIM), np.float32)
     for k in range(NONZERO):
         x = mix(h + np.uint64(k))
-        out[np.arange(len(words)), (x % np.uint64(DIM)).astype(np.int64)] += np.where(x >> np.uint64(63), 1, -1)
+        out[np.arange(len(h)), (x % np.uint64(DIM)).astype(np.int64)] += np.where(x >> np.uint64(63), 1, -1)
     return out
 
 
@@ -68,8 +71,9 @@ def core(token: str) -> str:
 
 @dataclass
 class Model:
-    words: dict[str, int] = field(default_factory=dict)
-    vectors: np.ndarray = field(default_factory=lambda: np.zeros((0, DIM), np.float32))
+    #: Hashes of the sample's words in order, and the words' vectors.
+    words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    vectors: np.ndarray = field(default_factory=lambda: np.zeros((0, DIM), np.float16))
     centre: np.ndarray | None = None
     spread: np.ndarray | None = None
     layers: tuple[np.ndarray, ...] = ()
@@ -86,7 +90,7 @@ class Model:
 class Pooler:
     """Document vectors; keeps the rows of REMEMBERED tokens seen lately."""
 
-    def __init__(self, words: dict[str, int], vectors: np.ndarray):
+    def __init__(self, words: np.ndarray, vectors: np.ndarray):
         self.words, self.vectors, self.row, self.matrix = words, vectors, {}, np.zeros((REMEMBERED, 2 * DIM), np.float32)
 
     def text(self, text: str | None) -> np.ndarray:
@@ -100,11 +104,13 @@ class Pooler:
         row, new = self.row, [t for t, _ in counts if t not in self.row]
         if new:
             cores = [core(t) for t in new]
-            at = np.array([self.words.get(w, -1) for w in cores])
+            h = hashes(cores)
+            at = np.minimum(np.searchsorted(self.words, h), max(0, len(self.words) - 1))
+            known = self.words[at] == h if len(self.words) else np.zeros(len(h), bool)
             block = self.matrix[len(row) : len(row) + len(new)]
-            block[at >= 0, :DIM] = self.vectors[at[at >= 0]]
-            block[at < 0, :DIM] = unit(index_vectors([w for w, i in zip(cores, at, strict=True) if i < 0])) * np.array([bool(w) for w, i in zip(cores, at, strict=True) if i < 0], np.float32)[:, None]
-            block[:, DIM:] = index_vectors([shape(t) for t in new])
+            block[known, :DIM] = self.vectors[at[known]]
+            block[~known, :DIM] = unit(index_vectors(h[~known])) * np.array([bool(w) for w in cores], np.float32)[~known, None]
+            block[:, DIM:] = index_vectors(hashes([shape(t) for t in new]))
             for t in new:
                 row[t] = len(row)
         rows = np.fromiter((row[t] for t, _ in counts), np.int64, len(counts))
@@ -145,27 +151,30 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
-def _contexts(sample: DataFrame, text_col: str) -> tuple[dict[str, int], np.ndarray]:
-    """The place of each word of the sample, and the words' vectors."""
+def _contexts(sample: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the sample's words, in order, and the words' vectors."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [[core(t) for t in pieces(x.as_py() or "")] for x in batch.column(0)]
         words = sorted({w for t in texts for w in t if w})
-        at = {w: i for i, w in enumerate(words)}
-        index = np.vstack([index_vectors(words), np.zeros((1, DIM), np.float32)])
+        at, h = {w: i for i, w in enumerate(words)}, hashes(words)
+        index = np.vstack([index_vectors(h), np.zeros((1, DIM), np.float32)])
         sums = np.zeros_like(index)
         for t in texts:
             ids = np.array([at.get(w, len(words)) for w in t], np.int64)
             for off in range(1, WINDOW + 1):
                 np.add.at(sums, ids[:-off], index[ids[off:]])
                 np.add.at(sums, ids[off:], index[ids[:-off]])
-        return pa.record_batch([pa.array(words, pa.string()), pa.array(sums[:-1].astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["word", "vec"])
+        flat = pa.array(sums[:-1].astype(np.int32).ravel())
+        return pa.record_batch([pa.array(h.view(np.int64)), pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1, dtype=np.int32) * DIM), flat)], names=["word", "vec"])
 
-    parts = map_batches(sample.select(text_col), run, "word string, vec array<int>")
-    # sums of whole numbers: the same whatever the partitioning
-    sums = parts.groupBy("word").agg(F.array(*(F.sum(F.col("vec")[i]) for i in range(DIM))).alias("vec")).orderBy("word").toArrow()
-    vectors = sums.column("vec").combine_chunks().values.to_numpy().reshape(-1, DIM) if sums.num_rows else np.zeros((0, DIM))
-    return {w: i for i, w in enumerate(sums.column("word").to_pylist())}, unit(vectors.astype(np.float32))
+    parts = map_batches(sample.select(text_col), run, "word long, vec array<int>")
+    # sums of whole numbers: the same whatever the partitioning. They grow with the sample, whose size is bounded
+    sums = parts.groupBy("word").agg(*(F.sum(F.col("vec")[i]).cast("int").alias(f"d{i}") for i in range(DIM))).toArrow()
+    words = sums.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    vectors = np.stack([sums.column(f"d{i}").to_numpy().astype(np.float32) for i in range(DIM)], 1)
+    return words[order], unit(vectors)[order].astype(np.float16)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = ROWS) -> Model:
@@ -191,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, scratch: Scratch, id_
     return model
 
 
-def features(df: DataFrame, words: dict[str, int], vectors: np.ndarray, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
+def features(df: DataFrame, words: np.ndarray, vectors: np.ndarray, keep: tuple[str, ...], text_col: str = "text") -> DataFrame:
     """vec, with the columns in keep."""
     shared = df.sparkSession.sparkContext.broadcast((words, vectors))
     own: list[Pooler] = []

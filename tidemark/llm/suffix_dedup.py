@@ -93,8 +93,9 @@ def leftmost_minimum(h: np.ndarray, wide: int) -> np.ndarray:
     return at
 
 
-def contexts(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text, hash, bytes, start, starts, offset) of the contexts: hashes of the piece and of all bytes, the first start, the number of starts, the piece's offset from the first start."""
+def contexts(texts: list[bytes], only_pieces: bool = False) -> tuple[np.ndarray, ...]:
+    """(text, hash, bytes, start, starts, offset) of the contexts: hashes of the piece and of all bytes, the first start, the number of starts, the piece's offset from the first start.
+    only_pieces: their hashes alone."""
     out: list[tuple[np.ndarray, ...]] = []
     wide, at = LENGTH - GRAM + 1, 0
     # a long text is hashed in segments that overlap so far that every start is in one of them
@@ -115,13 +116,18 @@ def contexts(texts: list[bytes]) -> tuple[np.ndarray, ...]:
             start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
             piece = leftmost_minimum(h, wide)[start]
             new = np.flatnonzero(np.r_[True, (np.diff(piece) != 0) | (np.diff(text) != 0)])
+            if only_pieces:
+                out.append((h[piece[new]].view(np.int64),))
+                at = upto
+                continue
             t, a, n = text[new], start[new], np.diff(np.r_[new, len(start)])
             offset = piece[new] - a
             out.append((of[t + at], h[piece[new]].view(np.int64), Ranges(h).of(a, a + n + LENGTH - 1, offset), a - first[t] + base[t + at], n, offset))
         at = upto
+    width = 1 if only_pieces else 6
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
-    return tuple(np.concatenate([x[i] for x in out]).astype(np.int64) for i in range(6))
+        return tuple(np.zeros(0, np.int64) for _ in range(width))
+    return tuple(np.concatenate([x[i] for x in out]).astype(np.int64, copy=False) for i in range(width))
 
 
 def blocks(raw: bytes, first: np.ndarray, starts: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -186,6 +192,15 @@ def _light(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("id", "raw"), run, "hash long, bytes long, id long, packed long")
 
 
+def _pieces(docs: DataFrame) -> DataFrame:
+    """(hash) of every context."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(contexts(batch.column(0).to_pylist(), True)[0])], names=["hash"])
+
+    return map_batches(docs.select("raw"), run, "hash long")
+
+
 def _read(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, packed, context) with the bytes of the wanted contexts. What is gathered for an id is bounded by its text."""
     lists = wanted.groupBy("id").agg(F.collect_list("packed").alias("at"))
@@ -291,9 +306,8 @@ def _factors(ranges: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, from, to): string starts, from to before to, that are later copies. docs: id, raw; an id has one text."""
-    light = _light(docs)
-    often = light.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    every = scratch.cut(light.join(often, "hash", "left_semi"))
+    often = _pieces(docs).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    every = scratch.cut(_light(docs).join(often, "hash", "left_semi"))
     first = F.min(F.struct("id", "packed")).alias("first")
     firsts = scratch.cut(every.groupBy("hash", "bytes").agg(first, F.count("*").alias("n")).select("hash", "bytes", F.col("first.id").alias("f_id"), F.col("first.packed").alias("f_packed"), "n"))
     start = F.shiftright("packed", 16)

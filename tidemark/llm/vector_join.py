@@ -3,7 +3,7 @@
 Vectors are compared by angle, which is a metric. Each belongs to the cell of its nearest pivot. A vector also goes to every later cell
 that could hold a partner: by the triangle inequality its angle to that cell's pivot is at most the cell's radius plus the
 threshold angle, and it lies no further than that angle beyond the plane between both pivots. Cells are joined independently,
-in blocks of bounded size on either side, each pair of blocks by one matrix product in double precision.
+in blocks of bounded size on either side, each pair of blocks by one matrix product in double precision. The cosine is the double product of the two unit vectors.
 
 A block gives each vector its number of links and a spanning forest of them, never the links themselves, so a dense cluster costs
 rows, not pairs. Equal vectors are compared once, with their number.
@@ -27,8 +27,10 @@ from tidemark.llm.common import Scratch, components, map_batches
 THRESHOLD = 0.95
 #: Vectors of a cell's block, and foreign vectors that one task compares it with.
 HOME_BLOCK, AWAY_BLOCK = 4096, 8192
-#: Pivots are collected to the driver, so their number is bounded; larger cells only have more blocks.
-MAX_PIVOTS = 256
+#: There is a pivot for so many times the square root of the number of vectors, so that cells grow with the table as their number does.
+ROOTS = 8
+#: Angles between vectors and pivots that are held at a time.
+ANGLES = 1 << 21
 SLACK = 1e-9
 
 
@@ -81,20 +83,22 @@ def _units(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return map_batches(df.select(F.col(id_col).cast("long"), vector_col), run, "id long, unit binary")
 
 
-def _by_length(batch: pa.RecordBatch):
-    """(rows, unit vectors) of each length in a batch."""
+def _by_length(batch: pa.RecordBatch, cells: Cells):
+    """(length, rows, unit vectors) of a batch, as many rows at a time as their angles to all pivots allow."""
     units = batch.column("unit").to_pylist()
     lengths = np.array([len(u) // 8 for u in units])
     for dim in np.unique(lengths):
         rows = np.flatnonzero(lengths == dim)
-        yield int(dim), rows, _matrix([units[i] for i in rows])
+        step = max(1, ANGLES // len(cells.pivots[int(dim)]))
+        for at in range(0, len(rows), step):
+            yield int(dim), rows[at : at + step], _matrix([units[i] for i in rows[at : at + step]])
 
 
 def _plan(vectors: DataFrame, threshold: float) -> Cells:
     counts = {r["dim"]: r["n"] for r in vectors.groupBy((F.octet_length("unit") / 8).cast("int").alias("dim")).agg(F.count("*").alias("n")).collect()}
     pivots, first, at = {}, {}, 0
     for dim, n in sorted(counts.items()):
-        k = max(1, min(MAX_PIVOTS, -(-n // HOME_BLOCK)))
+        k = math.isqrt(n) // ROOTS + 1
         rows = vectors.where(F.octet_length("unit") == 8 * dim).orderBy(F.xxhash64("id"), "id").limit(k).collect()
         pivots[dim], first[dim] = _matrix([bytes(r["unit"]) for r in rows]), at
         at += len(rows)
@@ -102,7 +106,7 @@ def _plan(vectors: DataFrame, threshold: float) -> Cells:
 
     def sizes(batch: pa.RecordBatch) -> pa.RecordBatch:
         found: list[tuple[int, int, float]] = []
-        for dim, _, x in _by_length(batch):
+        for dim, _, x in _by_length(batch, cells):
             cell, angle = cells.own(x)
             own = angle[np.arange(len(x)), cell]
             found += [(cells.first[dim] + int(c), int((cell == c).sum()), float(own[cell == c].max())) for c in np.unique(cell)]
@@ -114,9 +118,9 @@ def _plan(vectors: DataFrame, threshold: float) -> Cells:
 
     def visitors(batch: pa.RecordBatch) -> pa.RecordBatch:
         found: dict[int, int] = {}
-        for dim, _, x in _by_length(batch):
+        for dim, _, x in _by_length(batch, cells):
             for c, n in zip(*np.unique(cells.visits(x)[1], return_counts=True), strict=True):
-                found[cells.first[dim] + int(c)] = int(n)
+                found[cells.first[dim] + int(c)] = found.get(cells.first[dim] + int(c), 0) + int(n)
         return pa.record_batch([pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())], names=["cell", "n"])
 
     for r in map_batches(vectors, visitors, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
@@ -136,7 +140,7 @@ def _dealt(vectors: DataFrame, cells: Cells) -> DataFrame:
         def put(i: int, c: int, b: int, a: int, f: bool) -> None:
             row.append(i), cell.append(c), block.append(b), against.append(a), foreign.append(f)
 
-        for dim, rows, x in _by_length(batch):
+        for dim, rows, x in _by_length(batch, cells):
             base = cells.first[dim]
             spread = ((ids[rows].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
             for i, c, h in zip(rows.tolist(), (cells.own(x)[0] + base).tolist(), spread.tolist(), strict=True):
