@@ -96,13 +96,14 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
 
 
 def arrow_column(spark: SparkSession, fn: Callable[[pa.Array], pa.Array], kind: str) -> Callable[[Column], Column]:
-    """A column computed from another by Arrow batches; the row's other columns stay in the JVM."""
+    """A column computed from another by Arrow batches; the row's other columns stay in the JVM. Marked as not deterministic, since a filter on the column would be pushed
+    below its projection otherwise and have every row computed twice."""
     bound_batches(spark)
 
     def run(column: pa.Array) -> pa.Array:
         return fn(column)
 
-    return F.arrow_udf(run, returnType=kind, functionType=F.ArrowUDFType.SCALAR)
+    return F.arrow_udf(run, returnType=kind).asNondeterministic()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
