@@ -118,3 +118,19 @@ def test_a_batch_that_broke_off_can_be_run_again(spark, data, tmp_path, monkeypa
     for name in ("history", "canonical", "rejected", "quarantine"):
         a, b = (sorted(r["kafka_offset"] for r in getattr(t, name).read().collect()) for t in (broken, whole))
         assert a == b
+
+
+def test_a_batch_reads_its_own_buckets_and_offsets(spark, data, tmp_path, monkeypatch):
+    """History by the batch's range of offsets, the latest events by its keys' buckets; nothing else is opened, however long the history is."""
+    from tidemark.store import VersionedTable
+
+    bronze = change_log.bronze_columns(queries.records(spark, data, queries.JOB_JSON))
+    tables = silver.SilverTables.at(spark, lambda n: f"file://{tmp_path}/{n}", CUSTOMERS.key, 16)
+    for at in range(0, 400, 100):
+        silver.process_batch(bronze.where(f"offset >= {at} AND offset < {at + 100}"), CUSTOMERS, tables)
+    opened, whole = [], VersionedTable._read
+    monkeypatch.setattr(VersionedTable, "_read", lambda self, schema, parts: opened.append((self.path.rpartition("/")[2], len(parts), len(self.manifest().parts))) or whole(self, schema, parts))
+    one = bronze.where("offset >= 390 AND offset < 395")
+    silver.process_batch(one, CUSTOMERS, tables)
+    history, keyed = [x for x in opened if x[0] == "cdc_history"], [x for x in opened if x[0] in ("cdc_latest", "canonical")]
+    assert history and all(parts <= 2 for _, parts, _ in history) and keyed and all(parts < total for _, parts, total in keyed)

@@ -66,11 +66,11 @@ def unseen(events: DataFrame, history: DataFrame) -> DataFrame:
     return events.join(history.select(*IDENTITY), list(IDENTITY), "left_anti").select(*events.columns)
 
 
-def with_status(fresh: DataFrame, history: DataFrame, key: str) -> DataFrame:
-    """Unseen events with cdc_status and the position of the key's latest event in history.
+def with_status(fresh: DataFrame, history: DataFrame, key: str, latest: DataFrame | None = None) -> DataFrame:
+    """Unseen events with cdc_status and the position of the key's latest event in history, or in ``latest``, which has one event for each key.
 
     Events are held against earlier runs only, never against each other."""
-    last = latest_per_key(history.join(fresh.select(key).distinct(), key, "left_semi"), key)
+    last = latest_per_key(history.join(fresh.select(key).distinct(), key, "left_semi"), key) if latest is None else latest
     last = last.select(key, *(F.col(c).cast(kind).alias(f"persisted_{c}") for c, kind in PERSISTED.items()))
     status = F.expr(
         f"""CASE WHEN persisted_source_lsn IS NULL THEN '{NEW}'
@@ -81,13 +81,13 @@ def with_status(fresh: DataFrame, history: DataFrame, key: str) -> DataFrame:
     return fresh.join(last, key, "left").withColumn("cdc_status", status)
 
 
-def classify(split: Split, history: DataFrame | None, key: str) -> Classified:
-    """Accepted: new and newer events, and replays, so that a run that broke off after writing history can be caught up.
+def classify(split: Split, history: DataFrame | None, key: str, latest: DataFrame | None = None) -> Classified:
+    """With ``latest``, the last event of each of the batch's keys, history need only hold the batch's range of offsets. Accepted: new and newer events, and replays, so that a run that broke off after writing history can be caught up.
     Rejected: stale and ambiguous ones with what they lost to. history: None on the first run."""
     if history is None:
         return Classified(split.orderable, split.ambiguous)
     columns = split.orderable.columns
-    judged = with_status(unseen(split.orderable, history), history, key)
+    judged = with_status(unseen(split.orderable, history), history, key, latest)
     accepted = judged.where(F.col("cdc_status").isin(NEW, NEWER)).select(*columns)
     lost = judged.where(F.col("cdc_status").isin(STALE, AMBIGUOUS)).withColumn("rejected_at", F.current_timestamp())
     return Classified(accepted.unionByName(replays(split.orderable, history)), lost.unionByName(split.ambiguous))

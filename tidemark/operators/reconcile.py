@@ -10,7 +10,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# fixed values: the text for null, states of rows and of runs
 NULL_TEXT = "__NULL__"
+AGREED, DISAGREED = "SUCCESS", "COMPLETED_WITH_EXCEPTIONS"
+#: Rows that a bucket should hold: so many are joined for a single difference.
+BUCKET_ROWS = 10_000
 ROW_STATES = ("MISSING_IN_CDC", "MISSING_IN_SNAPSHOT", "CHECKSUM_MISMATCH")
 
 
@@ -19,6 +23,11 @@ def row_checksum(normalised: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws("||", *(F.coalesce(F.expr(e), F.lit(NULL_TEXT)) for e in normalised)), 256)
 
 
+def bucket_count(rows: int, least: int) -> int:
+    """The set number of buckets, or as many as the rows ask for."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def bucket_of(key: str, buckets: int, by_value: bool = False) -> Column:
     """1 to buckets. by_value: by the number itself rather than a hash of it."""
     return F.pmod(F.col(key) if by_value else F.hash(key), F.lit(buckets)).cast("int") + 1
@@ -36,8 +45,8 @@ def bucket_digests(rows: DataFrame, key: str, side: str, as_text: bool = False)
     if as_text:
         digest = F.sha2(F.concat_ws("||", F.sort_array(F.collect_list(h))), 256)
     else:
-        half = lambda at: F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)")
-        digest = F.concat_ws(":", F.sum(half(1)).cast("string"), F.sum(half(16)).cast("string"), F.bit_xor(F.xxhash64(h)).cast("string"))
+        slices = (F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)") for at in (1, 16, 31, 46))
+        digest = F.concat_ws(":", *(F.sum(x).cast("string") for x in slices))
     return rows.groupBy("bucket_id").agg(F.count(key).alias(f"{side}_row_count"), digest.alias(f"{side}_checksum"))
 
 
@@ -92,10 +101,13 @@ def with_run(df: DataFrame, as_of: str, entity: str, run_id: str) -> DataFrame:
 
 
 def run_summary(snapshot: DataFrame, state: DataFrame, found: DataFrame, run_id: str, as_of: str, entity: str) -> DataFrame:
-    """One row of counts; matched rows are those of the snapshot that are neither missing nor different."""
-    kinds = (F.count_if(F.col("reconciliation_status") == s).alias(f"{s.lower()}_count") for s in ("MISSING_IN_CDC", "MISSING_IN_SNAPSHOT", "CHECKSUM_MISMATCH"))
-    counts = snapshot.agg(F.count("*").alias("snapshot_row_count")).crossJoin(state.agg(F.count("*").alias("cdc_row_count"))).crossJoin(found.agg(F.count("*").alias("exception_count"), *kinds))
-    matched = F.col("snapshot_row_count") - F.col("missing_in_cdc_count") - F.col("checksum_mismatch_count")
-    status = F.when(F.col("exception_count") == 0, "SUCCESS").otherwise("COMPLETED_WITH_EXCEPTIONS")
-    run = {"reconciliation_run_id": F.lit(run_id), "entity_name": F.lit(entity), "snapshot_as_of": F.lit(as_of).cast("timestamp"), "reconciled_at": F.current_timestamp()}
-    return counts.withColumn("matched_row_count", matched).withColumn("overall_status", status).withColumns(run)
+    """One row of counts from one pass over what was compared and what was found."""
+    seen = snapshot.select(F.lit("SNAPSHOT").alias("what")).unionAll(state.select(F.lit("CDC"))).unionAll(found.select("reconciliation_status"))
+    number = lambda *kinds: F.count_if(F.col("what").isin(*kinds))
+    columns = {"snapshot_row_count": number("SNAPSHOT"), "cdc_row_count": number("CDC"), "exception_count": number(*ROW_STATES)}
+    columns |= {f"{s.lower()}_count": number(s) for s in ROW_STATES}
+    # rows of the snapshot that are neither missing on the other side nor different there
+    columns["matched_row_count"] = number("SNAPSHOT") - number("MISSING_IN_CDC", "CHECKSUM_MISMATCH")
+    columns["overall_status"] = F.when(number(*ROW_STATES) == 0, AGREED).otherwise(DISAGREED)
+    row = seen.agg(*(c.alias(name) for name, c in columns.items()))
+    return with_run(row, as_of, entity, run_id)

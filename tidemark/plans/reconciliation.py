@@ -47,7 +47,8 @@ def reconcile_snapshot(snapshot: DataFrame, spec: EntitySpec, tables: Reconcilia
     try:
         good, _ = snapshots.validated(snapshots.with_metadata(snapshot, spec.name, as_of), spec, as_of)
         done = expected_state.advance(tables.history.read(), tables.expected, tables.metadata, spec.key, spec.name, as_of, run_id)
-        wrong = reconcile.exceptions(good, done.state, spec.key, spec.checksum, spec.compare, buckets)
+        rows = tables.metadata.read().where(f"reconciliation_run_id = '{run_id}'").agg({"state_row_count": "max"}).first()[0]
+        wrong = reconcile.exceptions(good, done.state, spec.key, spec.checksum, spec.compare, reconcile.bucket_count(rows, buckets))
         # the written rows are counted, rather than the comparison run again
         tables.detail.append(reconcile.with_run(wrong, as_of, spec.name, run_id))
         mine = tables.detail.read().where(f"reconciliation_run_id = '{run_id}'")

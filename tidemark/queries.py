@@ -15,6 +15,7 @@ from tidemark.entities import ADDRESSES, CONSENTS, CUSTOMERS, EntitySpec
 from tidemark.functions.text import bool_of_text
 from tidemark.operators import ordering, reconcile, rules, state
 from tidemark.plans import expected_state, silver
+from tidemark.plans.reconciliation import ReconciliationTables, reconcile_snapshot
 from tidemark.sources import change_log, envelope, snapshots
 from tidemark.store import VersionedTable
 from tidemark.streaming import jobs
@@ -521,6 +522,228 @@ def stream_bronze_to_silver(spark: SparkSession, d: str) -> DataFrame:
     return tables.canonical.read().select("customer_id", "kafka_offset")
 
 
+@query(
+    "silver_two_batches",
+    f"""WITH e AS (SELECT {LOG.format(lsn=DISORDERED)}, event_id, event_id % 50 = 0 AS broken FROM events WHERE event_id % 17 <> 0),
+    early AS (SELECT * FROM e WHERE source_timestamp < TIMESTAMP '2024-01-16 00:00:00'), late AS (SELECT * FROM e WHERE source_timestamp >= TIMESTAMP '2024-01-14 00:00:00'),
+    tied1 AS (SELECT entity_id, source_lsn FROM early WHERE NOT broken GROUP BY ALL HAVING count(DISTINCT kafka_partition) > 1), hist AS (SELECT * FROM early ANTI JOIN tied1 USING (entity_id, source_lsn) WHERE NOT broken),
+    tied2 AS (SELECT entity_id, source_lsn FROM late WHERE NOT broken GROUP BY ALL HAVING count(DISTINCT kafka_partition) > 1), orderable AS (SELECT * FROM late ANTI JOIN tied2 USING (entity_id, source_lsn) WHERE NOT broken),
+    last AS (SELECT * FROM hist {{LAST}}), fresh AS (SELECT * FROM orderable ANTI JOIN hist USING (kafka_offset)),
+    judged AS (SELECT f.*, CASE WHEN l.entity_id IS NULL THEN 'NEW' WHEN f.source_lsn > l.source_lsn THEN 'NEWER' WHEN f.source_lsn < l.source_lsn THEN 'STALE' WHEN f.kafka_partition <> l.kafka_partition THEN 'AMBIGUOUS_ORDERING' WHEN f.kafka_offset > l.kafka_offset THEN 'NEWER' ELSE 'STALE' END AS cdc_status
+        FROM fresh f LEFT JOIN last l ON f.entity_id = l.entity_id),
+    after AS (SELECT entity_id, source_lsn, kafka_offset, cdc_operation FROM hist UNION ALL SELECT entity_id, source_lsn, kafka_offset, cdc_operation FROM judged WHERE cdc_status IN ('NEW', 'NEWER')),
+    lost AS (SELECT kafka_offset, 'AMBIGUOUS_ORDERING' AS status FROM early SEMI JOIN tied1 USING (entity_id, source_lsn) WHERE NOT broken),
+    lost2 AS (SELECT kafka_offset, cdc_status AS status FROM judged WHERE cdc_status NOT IN ('NEW', 'NEWER') UNION ALL SELECT kafka_offset, 'AMBIGUOUS_ORDERING' FROM late SEMI JOIN tied2 USING (entity_id, source_lsn) WHERE NOT broken)
+    SELECT 'quarantine' AS dataset, kafka_offset, 'INVALID_CDC_OPERATION,MISSING_CUSTOMER_ID,MISSING_SOURCE_LSN' AS status FROM e WHERE broken UNION ALL SELECT 'history', kafka_offset, cdc_operation FROM after
+    UNION ALL SELECT 'canonical', kafka_offset, cdc_operation FROM (SELECT * FROM after {{LAST}}) WHERE cdc_operation <> 'd' UNION ALL SELECT 'latest', kafka_offset, cdc_operation FROM after {{LAST}}
+    UNION ALL SELECT 'rejected', kafka_offset, status FROM lost UNION ALL SELECT 'rejected', kafka_offset, status FROM lost2 ANTI JOIN lost USING (kafka_offset)""".replace("{LAST}", LAST),
+)
+def silver_two_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Two batches that overlap by two days, so that the second finds history, replays, stale and ambiguous events; all tables read back."""
+    top = workspace.folder(spark)
+    tables = silver.SilverTables.at(spark, lambda name: f"{top}/{name}", CUSTOMERS.key, 16)
+    times = spark.read.parquet(f"{d}/events.parquet").select(F.col("event_id").alias("offset"), "ts")
+    every = records(spark, d, JOB_JSON.replace("event_id * 3", DISORDERED)).join(times, "offset")
+    for batch in (every.where(F.col("ts") < state.cutoff(times, "2024-01-16 00:00:00", "ts")), every.where(F.col("ts") >= state.cutoff(times, "2024-01-14 00:00:00", "ts"))):
+        silver.process_batch(change_log.bronze_columns(batch.drop("ts")), CUSTOMERS, tables)
+    read = lambda name, status: getattr(tables, name).read().select(F.lit(name).alias("dataset"), "kafka_offset", status.alias("status"))
+    out = read("quarantine", F.array_join(F.filter("dq_errors", lambda c: c.isin("INVALID_CDC_OPERATION", "MISSING_CUSTOMER_ID", "MISSING_SOURCE_LSN")), ","))
+    for name, column in (("history", "cdc_operation"), ("canonical", "cdc_operation"), ("latest", "cdc_operation"), ("rejected", "cdc_status")):
+        out = out.unionAll(read(name, F.col(column)))
+    return out
+
+
+# the three entities: event columns, snapshots, checksums, whole reconciliation runs. Rows are derived from ``events``; the key is the event's user, or the event for addresses and consents
+
+
+def _entity_rows(spec: EntitySpec) -> dict[str, tuple[str, str]]:
+    """By column, its SQL in the change log's JSON and in the snapshot's file."""
+    when = "'2024-01-02T03:04:05Z'", "'2024-01-02 03:04:05'"
+    if spec is CUSTOMERS:
+        text = {"first_name": "concat(' n', event_id % 7, ' ')", "last_name": "'l'", "phone_number": "CASE WHEN event_id % 2 = 0 THEN 'p' END"}
+        return {"customer_id": ("user_id",) * 2, **{c: (x, x) for c, x in text.items()}, "email": ("concat('E', event_id % 3, '@x.org')", "concat(' e', event_id % 3, '@X.org')"), "date_of_birth": ("CAST(event_id % 9 AS INT)", "concat('1970-01-0', 1 + event_id % 9)"), "status": ("'ACTIVE'",) * 2, "segment": ("'GOLD'",) * 2, "created_at": when, "updated_at": when}
+    if spec is ADDRESSES:
+        text = {"address_line_1": "concat('l', event_id)", "address_line_2": "CASE WHEN event_id % 3 = 0 THEN 'z' END", "city": "concat('c', event_id % 5)", "state": "'S'", "postal_code": "'1'", "country": "'nl'"}
+        return {"address_id": ("event_id",) * 2, "customer_id": ("user_id",) * 2, "address_type": ("CASE event_id % 3 WHEN 0 THEN 'HOME' WHEN 1 THEN 'SHIPPING' ELSE 'BILLING' END",) * 2, **{c: (x, x) for c, x in text.items()}, "is_primary": ("event_id % 2 = 0", "CASE WHEN event_id % 2 = 0 THEN ' T' ELSE '0' END"), "created_at": when, "updated_at": when}
+    return {"consent_id": ("event_id",) * 2, "customer_id": ("user_id",) * 2, "consent_type": ("CASE WHEN event_id % 2 = 0 THEN 'EMAIL' ELSE 'SMS' END",) * 2, "granted": ("event_id % 3 = 0", "CASE WHEN event_id % 3 = 0 THEN 'true' ELSE 'F' END"), "created_at": when, "updated_at": when}
+
+
+def entity_events(spark: SparkSession, d: str, spec: EntitySpec) -> DataFrame:
+    row = ", ".join(f"'{c}', {x}" for c, (x, _) in _entity_rows(spec).items())
+    json = f"to_json(named_struct('payload', named_struct('before', if(event_type = 'error', named_struct({row}), NULL), 'after', if(event_type <> 'error', named_struct({row}), NULL), 'source', named_struct('lsn', event_id, 'ts_ms', 1700000000000 + event_id * 1000), 'op', {OP}, 'ts_ms', 1700000000000)))"
+    return silver.events(change_log.bronze_columns(records(spark, d, json)), spec)
+
+
+def entity_snapshot(spark: SparkSession, d: str, spec: EntitySpec, rows: str, **over: str) -> DataFrame:
+    """The rows of this SQL over ``events`` written as a snapshot file and loaded as a job would; over: columns with other SQL."""
+    path, events = workspace.folder(spark), spark.read.parquet(f"{d}/events.parquet")
+    found = rows.format(events="{events}")
+    columns = [f"{over.get(c, _entity_rows(spec)[c][1])} AS {c}" for c in spec.snapshot_schema.names]
+    text = spark.sql(found, events=events).selectExpr(*columns)
+    text.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return snapshots.load(spark, path, spec)
+
+
+def _null(x: str) -> str:
+    return f"coalesce({x}, '__NULL__')"
+
+
+MOMENT = "'2024-01-02 03:04:05.000000'"
+# normalised values of these rows, as the specification of each entity's checksum gives them
+CHECKSUMS = {
+    CUSTOMERS.name: ("CAST(user_id AS VARCHAR)", "concat('n', event_id % 7)", "'l'", "concat('e', event_id % 3, '@x.org')", "CASE WHEN event_id % 2 = 0 THEN 'p' END", "concat('1970-01-0', 1 + event_id % 9)", "'ACTIVE'", "'GOLD'", MOMENT),
+    ADDRESSES.name: ("CAST(event_id AS VARCHAR)", "CAST(user_id AS VARCHAR)", "CASE event_id % 3 WHEN 0 THEN 'HOME' WHEN 1 THEN 'SHIPPING' ELSE 'BILLING' END", "concat('l', event_id)", "CASE WHEN event_id % 3 = 0 THEN 'z' END", "concat('c', event_id % 5)", "'S'", "'1'", "'NL'", "CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END", MOMENT),
+    CONSENTS.name: ("CAST(event_id AS VARCHAR)", "CAST(user_id AS VARCHAR)", "CASE WHEN event_id % 2 = 0 THEN 'EMAIL' ELSE 'SMS' END", "CASE WHEN event_id % 3 = 0 THEN 'true' ELSE 'false' END", MOMENT),
+}
+SHORT = {CUSTOMERS.name: "customers", ADDRESSES.name: "addresses", CONSENTS.name: "consents"}
+#: Offset of the event that the runs' cutoff falls on.
+UPTO = 8000
+CUTOFF = "2023-11-15 00:26:40"
+KEYS = {CUSTOMERS.name: "user_id", ADDRESSES.name: "event_id", CONSENTS.name: "event_id"}
+#: A column that the snapshots of every 11th key have other values in, and which field is named then.
+CHANGED = {CUSTOMERS.name: ("last_name", "'other'"), ADDRESSES.name: ("city", "'other'"), CONSENTS.name: ("consent_type", "'PHONE'")}
+
+
+def _sha(spec: EntitySpec) -> str:
+    return f"sha256(concat_ws('||', {', '.join(map(_null, CHECKSUMS[spec.name]))}))"
+
+
+def _entity_queries(spec: EntitySpec) -> None:
+    name, key = SHORT[spec.name], KEYS[spec.name]
+    live = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY event_id DESC) AS place FROM {{events}} WHERE event_id <= {UPTO}) WHERE place = 1 AND event_type <> 'error'"
+    column, other = CHANGED[spec.name]
+    # the snapshot lacks every 7th key and has one in 13 twice, which is left out whole
+    taken = f"SELECT * FROM ({live}) WHERE {key} % 7 <> 0 UNION ALL SELECT * FROM ({live}) WHERE {key} % 7 <> 0 AND {key} % 13 = 0"
+    over = {column: f"CASE WHEN {key} % 11 = 0 THEN {other} ELSE {_entity_rows(spec)[column][1]} END"}
+
+    if spec is not CUSTOMERS:
+        first = "address_type" if spec is ADDRESSES else "consent_type"
+        flag = spec.snapshot_booleans[0]
+
+        @query(f"normalize_{name}", f"SELECT event_id AS {spec.key}, user_id AS customer_id, {_entity_rows(spec)[first][0]} AS {first}, {_entity_rows(spec)[flag][0]} AS {flag}, {OP} AS cdc_operation, event_id AS source_lsn, event_id AS kafka_offset, {MOMENT} AS updated_at FROM events")
+        def normalize(spark: SparkSession, d: str) -> DataFrame:
+            rows = entity_events(spark, d, spec)
+            return rows.select(spec.key, "customer_id", first, flag, "cdc_operation", "source_lsn", "kafka_offset", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("updated_at"))
+
+    @query(f"checksum_{name}", f"SELECT {key} AS {spec.key}, {_sha(spec)} AS checksum FROM ({live.format(events='events')})")
+    def checksum(spark: SparkSession, d: str) -> DataFrame:
+        rows = entity_snapshot(spark, d, spec, live)
+        return rows.select(spec.key, reconcile.row_checksum(spec.checksum).alias("checksum"))
+
+    @query(f"snapshot_state_{name}", f"SELECT {key} AS {spec.key}, '{spec.name}_snapshot_20231115' AS batch_id, '' AS errors FROM ({taken.format(events='events')}) WHERE {key} % 13 <> 0 UNION ALL SELECT {key}, '{spec.name}_snapshot_20231115', 'DUPLICATE_{spec.key.upper()}' FROM ({taken.format(events='events')}) WHERE {key} % 13 = 0")
+    def snapshot_state(spark: SparkSession, d: str) -> DataFrame:
+        rows = snapshots.with_metadata(entity_snapshot(spark, d, spec, taken), spec.name, CUTOFF)
+        good, wrong = snapshots.validated(rows, spec, CUTOFF)
+        return good.select(spec.key, "batch_id", F.lit("").alias("errors")).unionAll(wrong.select(spec.key, "batch_id", F.array_join("snapshot_errors", ",")))
+
+    business = [("MISSING_CUSTOMER_ID", "user_id % 4 = 0")] if spec is not CUSTOMERS else [("MISSING_LAST_NAME", "user_id % 4 = 0")]
+    broken = {"customer_id": "CASE WHEN user_id % 4 <> 0 THEN user_id END"} if spec is not CUSTOMERS else {"last_name": "CASE WHEN user_id % 4 <> 0 THEN 'l' ELSE ' ' END"}
+    if spec is ADDRESSES:
+        business += [("INVALID_ADDRESS_TYPE", "event_id % 5 = 0"), ("MISSING_CITY", "event_id % 6 = 0"), ("MISSING_IS_PRIMARY", "event_id % 9 = 0")]
+        broken |= {"address_type": "CASE WHEN event_id % 5 = 0 THEN 'CAVE' ELSE ' home ' END", "city": "CASE WHEN event_id % 6 = 0 THEN '' ELSE 'c' END", "is_primary": "CASE WHEN event_id % 9 = 0 THEN 'maybe' ELSE ' TRUE ' END"}
+    elif spec is CONSENTS:
+        business += [("MISSING_CONSENT_TYPE", "event_id % 5 = 0"), ("MISSING_GRANTED", "event_id % 9 = 0")]
+        broken |= {"consent_type": "CASE WHEN event_id % 5 = 0 THEN ' ' ELSE 'SMS' END", "granted": "CASE WHEN event_id % 9 = 0 THEN '2' ELSE 'f' END"}
+
+    @query(f"snapshot_rules_{name}", f"SELECT {key} AS {spec.key}, concat_ws(',', {', '.join(_case(*r) for r in business)}) AS errors FROM ({live.format(events='events')})")
+    def snapshot_rules(spark: SparkSession, d: str) -> DataFrame:
+        return snapshots.tagged(entity_snapshot(spark, d, spec, live, **broken), spec, CUTOFF).select(spec.key, F.array_join("snapshot_errors", ",").alias("errors"))
+
+    def run(spark: SparkSession, d: str) -> ReconciliationTables:
+        """A run at the cutoff over the entity's history and such a snapshot."""
+        top = workspace.folder(spark)
+        tables = ReconciliationTables(*(VersionedTable(spark, f"{top}/{n}", *((spec.key,), 16) if n == "expected" else ()) for n in ("history", "expected", "metadata", "summary", "detail")))
+        silver.write_events(tables.history, entity_events(spark, d, spec))
+        reconcile_snapshot(entity_snapshot(spark, d, spec, taken, **over), spec, tables, CUTOFF, 4, "run")
+        return tables
+
+    rows = live.format(events="events")
+    missing, changed = f"({key} % 7 = 0 OR {key} % 13 = 0)", f"{key} % 11 = 0 AND NOT ({key} % 7 = 0 OR {key} % 13 = 0)"
+
+    @query(f"recon_detail_{name}", f"SELECT {key} AS {spec.key}, 'MISSING_IN_SNAPSHOT' AS reconciliation_status, '' AS mismatch_columns, 'run' AS reconciliation_run_id, '{spec.name}' AS entity_name, true AS cdc_present, NULL AS snapshot_present FROM ({rows}) WHERE {missing} UNION ALL SELECT {key}, 'CHECKSUM_MISMATCH', {{fields}}, 'run', '{spec.name}', true, true FROM ({rows}) WHERE {changed}".replace("{fields}", f"'{_changed_fields(spec)}'"))
+    def detail(spark: SparkSession, d: str) -> DataFrame:
+        return run(spark, d).detail.read().select(spec.key, "reconciliation_status", F.array_join("mismatch_columns", ",").alias("mismatch_columns"), "reconciliation_run_id", "entity_name", "cdc_present", "snapshot_present")
+
+    @query(
+        f"recon_summary_{name}",
+        f"""SELECT count(*) FILTER (NOT {missing}) AS snapshot_row_count, count(*) AS cdc_row_count, count(*) FILTER ({missing} OR {changed}) AS exception_count, CAST(0 AS BIGINT) AS missing_in_cdc_count, count(*) FILTER ({missing}) AS missing_in_snapshot_count,
+        count(*) FILTER ({changed}) AS checksum_mismatch_count, count(*) FILTER (NOT {missing} AND NOT ({changed})) AS matched_row_count, 'COMPLETED_WITH_EXCEPTIONS' AS overall_status FROM ({rows})""",
+    )
+    def summary(spark: SparkSession, d: str) -> DataFrame:
+        return run(spark, d).summary.read().select(*SUMMARY)
+
+
+def _changed_fields(spec: EntitySpec) -> str:
+    """Fields that differ by value in a changed row: the changed one, and the customers' email, which is equal once normalised only."""
+    names = [c for c in spec.compare if c == CHANGED[spec.name][0] or spec is CUSTOMERS and c == "email"]
+    return ",".join(f"{c.upper()}_MISMATCH" for c in names)
+
+
+for _spec in (CUSTOMERS, ADDRESSES, CONSENTS):
+    _entity_queries(_spec)
+
+
+def _sums(side: str, table: str) -> str:
+    parts = ", ':', ".join(f"CAST(sum(CAST(CAST('0x' || substr(h, {at}, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR)" for at in (1, 16, 31, 46))
+    return f"SELECT CAST(k % {BUCKETS} AS INT) + 1 AS bucket_id, count(k) AS {side}_row_count, concat({parts}) AS {side}_checksum FROM {table} GROUP BY 1"
+
+
+@query("recon_bucket_digests", f"{SIDES}, a AS ({_sums('snapshot', 'sn')}), b AS ({_sums('cdc', 'st')}) SELECT coalesce(a.bucket_id, b.bucket_id) AS bucket_id, snapshot_row_count, snapshot_checksum, cdc_row_count, cdc_checksum FROM a FULL OUTER JOIN b ON a.bucket_id = b.bucket_id")
+def recon_bucket_digests(spark: SparkSession, d: str) -> DataFrame:
+    """The digest that runs use."""
+    side = lambda df, name: reconcile.checksums(df, "k", CHECKSUM, BUCKETS, name, by_value=True)
+    return reconcile.compare_buckets(side(order_snapshot(spark, d), "snapshot"), side(order_state(spark, d), "cdc"), "k").drop("reconciliation_status")
+
+
+@query("recon_hash_buckets", "SELECT o_orderkey AS k, true AS in_range, true AS same_on_both_sides FROM orders WHERE o_orderkey % 83 <> 0 AND o_orderkey % 97 <> 0")
+def recon_hash_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """The hash has no SQL on the other side; that every key has one bucket, the same on both sides, has."""
+    side = lambda df, name: reconcile.checksums(df, "k", CHECKSUM, BUCKETS, name).select("k", F.col("bucket_id").alias(name))
+    both = side(order_snapshot(spark, d), "a").join(side(order_state(spark, d), "b"), "k")
+    return both.select("k", F.col("a").between(1, BUCKETS).alias("in_range"), (F.col("a") == F.col("b")).alias("same_on_both_sides"))
+
+
+@query("recon_side_columns", f"{SIDES} SELECT coalesce(sn.k, st.k) AS k, sn.k IS NOT NULL AS snapshot_present, st.k IS NOT NULL AS cdc_present, sn.prio AS snapshot_prio, st.prio AS cdc_prio, sn.cents AS snapshot_cents, st.cents AS cdc_cents FROM sn FULL OUTER JOIN st ON sn.k = st.k")
+def recon_side_columns(spark: SparkSession, d: str) -> DataFrame:
+    here = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
+    return _rows(spark, d).select("k", here("snapshot_present"), here("cdc_present"), "snapshot_prio", "cdc_prio", "snapshot_cents", "cdc_cents")
+
+
+@query("recon_run_metadata", f"{SIDES} SELECT k, 'run' AS reconciliation_run_id, 'orders' AS entity_name, '{T2}' AS snapshot_as_of FROM r WHERE reconciliation_status <> 'MATCH'")
+def recon_run_metadata(spark: SparkSession, d: str) -> DataFrame:
+    return reconcile.with_run(_exceptions(spark, d), T2, "orders", "run").select("k", "reconciliation_run_id", "entity_name", F.date_format("snapshot_as_of", "yyyy-MM-dd HH:mm:ss").alias("snapshot_as_of"))
+
+
+@query("catalog_table", "SELECT o_orderkey AS k, o_orderstatus AS status FROM orders")
+def catalog_table(spark: SparkSession, d: str) -> DataFrame:
+    """A versioned table saved into the session's catalog and read by its name."""
+    top = workspace.folder(spark)
+    table = VersionedTable(spark, f"{top}/versions")
+    table.overwrite(order_state(spark, d).select("k", "status"))
+    table.overwrite(spark.read.parquet(f"{d}/orders.parquet").selectExpr("o_orderkey AS k", "o_orderstatus AS status"))
+    table.save_as("tidemark_orders", f"{top}/files")
+    return spark.table("tidemark_orders")
+
+
+@query("compacted_table", "SELECT event_id AS k, event_type AS v FROM events")
+def compacted_table(spark: SparkSession, d: str) -> DataFrame:
+    """Many appends, compacted, their old parts removed."""
+    table = VersionedTable(spark, workspace.folder(spark), ("k",), 2)
+    rows = spark.read.parquet(f"{d}/events.parquet").selectExpr("event_id AS k", "event_type AS v")
+    for i in range(3):
+        table.append(rows.where(F.col("k") % 3 == i))
+    table.compact(bucket_rows=1000, small_parts=2)
+    table.vacuum()
+    return table.read()
+
+
+@query("silver_log_counts", f"SELECT count(*) FILTER ({GOOD}) AS accepted, CAST(0 AS BIGINT) AS rejected, count(*) FILTER (event_id % 17 <> 0 AND event_id % 50 = 0) AS quarantined FROM events")
+def silver_log_counts(spark: SparkSession, d: str) -> DataFrame:
+    top = workspace.folder(spark)
+    counts = silver.process_batch(change_log.bronze_columns(records(spark, d, JOB_JSON)), CUSTOMERS, silver.SilverTables.at(spark, lambda name: f"{top}/{name}", CUSTOMERS.key, 16))
+    return spark.range(1).select(*(F.lit(counts[c]).cast("long").alias(c) for c in ("accepted", "rejected", "quarantined")))
+
+
 #: As JSON, with statuses that the rules accept.
 JOB_JSON = JSON.replace("upper(event_type)", "'ACTIVE'")
 ORACLES["silver_microbatch"] = ORACLES["stream_bronze_to_silver"] = (

@@ -16,18 +16,16 @@ def load(spark: SparkSession, path: str, spec: EntitySpec) -> DataFrame:
     return rows.withColumns({c: bool_of_text(F.col(c)) for c in spec.snapshot_booleans}) if spec.snapshot_booleans else rows
 
 
+# fixed values: names of the metadata, the batch and the file, and the schema's version
+BATCH, FILE, SCHEMA_VERSION = "{entity}_snapshot_", ".csv", 1
+
+
 def with_metadata(df: DataFrame, entity: str, as_of: str) -> DataFrame:
-    at = F.lit(as_of).cast("timestamp")
-    return df.withColumns(
-        {
-            "snapshot_as_of": at,
-            "source_date": F.to_date(at),
-            "batch_id": F.concat(F.lit(f"{entity}_snapshot_"), F.date_format(at, "yyyyMMdd")),
-            "source_filename": F.concat(F.lit(f"{entity}_snapshot_"), F.date_format(at, "yyyy-MM-dd"), F.lit(".csv")),
-            "schema_version": F.lit(1),
-            "ingested_at": F.current_timestamp(),
-        }
-    )
+    """Adds where the rows come from: cutoff, its date, the batch, the file, the schema's version and the time of reading."""
+    cutoff, name = F.lit(as_of).cast("timestamp"), F.lit(BATCH.format(entity=entity))
+    day = lambda shape: F.concat(name, F.date_format(cutoff, shape))
+    added = {"snapshot_as_of": cutoff, "source_date": cutoff.cast("date"), "batch_id": day("yyyyMMdd"), "source_filename": F.concat(day("yyyy-MM-dd"), F.lit(FILE)), "schema_version": F.lit(SCHEMA_VERSION), "ingested_at": F.current_timestamp()}
+    return df.select("*", *(column.alias(c) for c, column in added.items()))
 
 
 def tagged(df: DataFrame, spec: EntitySpec, as_of: str) -> DataFrame:
