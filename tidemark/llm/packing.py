@@ -168,13 +168,13 @@ def _pack_tasks(items: DataFrame, size_col: str, level: int, capacity: int, grou
 
 
 def pack(items: DataFrame, size_col: str, scratch: Scratch, capacity: int = CAPACITY, fan_in: int = FAN_IN, group: int = GROUP) -> DataFrame:
-    """The items with sequence_id and offset; every size must be from 1 to the capacity."""
+    """The items with sequence_id and offset; every size must be from 1 to the capacity. The fill is best where partitions hold a random mix of sizes in random order."""
     first = scratch.cut(_pack_tasks(items, size_col, 0, capacity, group))
     underfull = lambda done: done.where("_carried").select(F.col("_bin").alias("item"), F.col("_fill").alias("size")).distinct()
     groups, left, moved, level = first.agg(F.countDistinct("_group")).first()[0], scratch.cut(underfull(first)), None, 1
     n = left.count()
     while groups > 1 and n:
-        groups = max(-(-groups // fan_in), -(-n // group))
+        groups = max(-(-groups // fan_in), -(-5 * n // (4 * group)))
         done = scratch.cut(_pack_tasks(left.repartition(groups, F.xxhash64("item", F.lit(level))), "size", level, capacity, group))
         step = done.select("item", F.col("_bin").alias("to"), F.col("_offset").alias("by"))
         if moved is None:
@@ -200,5 +200,6 @@ def pack_documents(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text
     """(id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every document."""
     if id_col in PLACES:
         raise ValueError(f"{id_col} is a column of the result")
-    mixed = pieces(df, id_col, text_col, path, capacity).repartition(id_col, "piece", "ids_crc32")
+    key = (id_col, "piece", "ids_crc32")
+    mixed = pieces(df, id_col, text_col, path, capacity).repartition(*key).sortWithinPartitions(F.xxhash64(*key))
     return pack(mixed, "length", scratch, capacity)

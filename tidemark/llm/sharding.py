@@ -28,6 +28,8 @@ DIGIT_BITS = 10
 KEY_BITS = 60
 #: A group of more than this part of a leaf's target bytes is cut.
 WHOLE = 0.25
+#: Bytes of a name that give its place.
+NAME_BYTES = 7
 #: Rows that one run of slot numbers holds.
 RUN = 20_000
 DIMENSIONS = ("length", "lang", "source")
@@ -41,10 +43,23 @@ def _groups(rows: DataFrame, target: int, whole: float) -> DataFrame:
     return sums.withColumn("parts", parts.cast("long"))
 
 
+def _prefix(a: bytes, b: bytes) -> int:
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
 def _dimension_key(points: DataFrame) -> DataFrame:
-    """Dimensions as integers of 16 bits: the length's logarithm, and the place of a name by its leading bytes."""
-    name = lambda c: F.conv(F.rpad(F.substring(F.hex(F.col(c).cast("binary")), 1, 16), 16, "0"), 16, 10).cast("decimal(20,0)") / F.lit(2.0**64) * F.lit(65535)
-    return points.withColumns({"length": F.floor(F.log2(F.col("text_size") + 1.0) / 40 * 65535).cast("long"), "lang": F.floor(name("lang").cast("double")).cast("long"), "source": F.floor(name("source").cast("double")).cast("long")})
+    """Dimensions as integers of 16 bits: the length's logarithm, and a name's place between the least and the greatest by its NAME_BYTES bytes after what all names
+    begin with."""
+    ends = points.agg(*(f(c).alias(f"{n}_{c}") for c in ("lang", "source") for n, f in (("lo", F.min), ("hi", F.max)))).first()
+
+    def place(c: str) -> Column:
+        lo, hi = ((ends[f"{n}_{c}"] or "").encode() for n in ("lo", "hi"))
+        at = _prefix(lo, hi)
+        number = lambda raw: int.from_bytes(raw[at : at + NAME_BYTES].ljust(NAME_BYTES, b"\0"), "big")
+        here = F.conv(F.rpad(F.hex(F.substring(F.col(c).cast("binary"), at + 1, NAME_BYTES)), 2 * NAME_BYTES, "0"), 16, 10).cast("long")
+        return F.floor((here - number(lo)) / F.lit(float(max(1, number(hi) - number(lo)))) * 65535).cast("long")
+
+    return points.withColumns({"length": F.floor(F.log2(F.col("text_size") + 1.0) / 40 * 65535).cast("long"), "lang": place("lang"), "source": place("source")})
 
 
 def _order(dim: Column, mixed: Column) -> Column:
