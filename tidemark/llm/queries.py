@@ -74,6 +74,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 REACH = "reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a), least AS (SELECT a AS id, least(a, min(b)) AS c FROM reach GROUP BY a)"
 
 ORACLES: dict[str, str] = {
+    # each string of 100 bytes by its digest; starts of later copies; their covers as runs; what lies between the runs
+    "op1_suffix_dedup": """WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents), n AS (SELECT doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n FROM b),
+        s AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS s FROM n, unnest(range(0, n - 99)) AS r(i)),
+        later AS (SELECT doc_id, i FROM s QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+        marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 100 THEN 0 ELSE 1 END AS fresh FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        numbered AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
+        spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS z FROM numbered GROUP BY doc_id, k),
+        parts AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+        found AS (SELECT doc_id, sum(z - a) AS gone, count(*) AS spans, max(z) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM parts JOIN n USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(concat(coalesce(kept, ''), substr(h, 2 * coalesce(last, 0) + 1)))) AS kept_sha256 FROM n LEFT JOIN found USING (doc_id)""",
     "op2_vector_join": f"""WITH RECURSIVE v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
         good AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(e, e) > 0),
         link AS (SELECT p.id AS a, q.id AS b FROM good p JOIN good q ON p.id <> q.id AND len(p.e) = len(q.e) AND list_cosine_similarity(p.e, q.e) >= 0.95), {REACH},
