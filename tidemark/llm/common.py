@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -23,10 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where that setting is unset (tests)."""
+    """The folder of spark.checkpoint.dir; a temporary one only where that setting is unset and all tasks run on this machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
     if not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="tidemark-"))
     return _own[0]
