@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ _local: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
-    """A new path under spark.checkpoint.dir, or under a temporary folder where that is unset; removed when the process ends."""
+    """A new path under spark.checkpoint.dir, or under a temporary folder where that is unset and all tasks run on this machine; removed when the process ends."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         if not _local:
             _local.append("file://" + tempfile.mkdtemp(prefix="tidemark-"))
         top = _local[0]
