@@ -32,9 +32,10 @@ NONZERO = 6
 WINDOW = 2
 HIDDEN = 24
 THRESHOLD = 0.3
-REMEMBERED = 50_000
+REMEMBERED = 100_000
 PIECE = 64
-EDGES = re.compile(r"^\W+|\W+$")
+EDGES, RUN = re.compile(r"^\W+|\W+$"), re.compile(r"(.)\1+", re.DOTALL)
+KINDS = {i: "9" if chr(i).isdigit() else "A" if chr(i).isupper() else "a" for i in range(128) if chr(i).isalnum()}
 
 
 def hashes(words: list[str]) -> np.ndarray:
@@ -56,6 +57,8 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 def shape(token: str) -> str:
     """Letters as A or a, digits as 9, runs of a kind as one; other marks stay."""
+    if token.isascii():
+        return RUN.sub(r"\1", token.translate(KINDS))
     kinds = ["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in token]
     return "".join(c for i, c in enumerate(kinds) if not i or c != kinds[i - 1])
 
@@ -66,7 +69,7 @@ def pieces(text: str) -> list[str]:
 
 
 def core(token: str) -> str:
-    return EDGES.sub("", token).lower()
+    return token.lower() if token.isalnum() else EDGES.sub("", token).lower()
 
 
 @dataclass
@@ -91,7 +94,8 @@ class Pooler:
     """Document vectors; keeps the rows of REMEMBERED tokens seen lately."""
 
     def __init__(self, words: np.ndarray, vectors: np.ndarray):
-        self.words, self.vectors, self.row, self.matrix = words, vectors, {}, np.zeros((REMEMBERED, 2 * DIM), np.float32)
+        self.words, self.vectors, self.row, self.matrix = words, vectors, {}, np.zeros((REMEMBERED, 2 * DIM), np.float16)
+        self.shapes: dict[str, np.ndarray] = {}
 
     def text(self, text: str | None) -> np.ndarray:
         counts = list(Counter(pieces(text or "")).items())
@@ -110,11 +114,17 @@ class Pooler:
             block = self.matrix[len(row) : len(row) + len(new)]
             block[known, :DIM] = self.vectors[at[known]]
             block[~known, :DIM] = unit(index_vectors(h[~known])) * np.array([bool(w) for w in cores], np.float32)[~known, None]
-            block[:, DIM:] = index_vectors(hashes([shape(t) for t in new]))
+            forms = [shape(t) for t in new]
+            if fresh := list(set(forms) - self.shapes.keys()):
+                if len(self.shapes) > REMEMBERED:
+                    self.shapes.clear()
+                    fresh = list(set(forms))
+                self.shapes.update(zip(fresh, index_vectors(hashes(fresh)), strict=True))
+            block[:, DIM:] = [self.shapes[s] for s in forms]
             for t in new:
                 row[t] = len(row)
-        rows = np.fromiter((row[t] for t, _ in counts), np.int64, len(counts))
-        return np.fromiter((n for _, n in counts), np.float32, len(counts)) @ self.matrix[rows]
+        rows, n = np.array([row[t] for t, _ in counts]), np.array([n for _, n in counts], np.float32)
+        return n @ self.matrix[rows].astype(np.float32)
 
 
 def forward(layers: tuple[np.ndarray, ...], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
