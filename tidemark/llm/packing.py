@@ -41,6 +41,11 @@ SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 PLACES = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+#: Marks that are a word of their own after letters.
+MARKS = frozenset(b".,;:!?")
+WORD_END = "</w>"
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,9 +54,18 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=2)
+def word_ends(path: str) -> np.ndarray:
+    """By id, whether the token ends a word."""
+    tokens = tokenizer(path).get_vocab()
+    out = np.zeros(max(tokens.values()) + 1, bool)
+    out[[i for t, i in tokens.items() if t.endswith(WORD_END)]] = True
+    return out
+
+
 class Ids:
     """Ids of texts as little-endian bytes. No token of this vocabulary spans white space and no normaliser acts across it, so each chunk between ASCII
-    white space is encoded by itself and remembered; chunks seen lately outlive a full memory."""
+    white space is encoded by itself and remembered; chunks seen lately outlive a full memory. ASCII letters, in any case, are one word, and a mark after them is another."""
 
     def __init__(self, path: str):
         self.path, self.known, self.older = path, {}, {}
@@ -60,16 +74,33 @@ class Ids:
         chunks = [x.encode().split() for x in texts]
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        known, new = self.known, []
-        for c in set().union(*chunks) - known.keys():
-            if (ids := self.older.get(c)) is not None:
-                known[c] = ids
-            else:
-                new.append(c)
+        known, older, new = self.known, self.older, []
+        for c in set().union(*chunks):
+            if c not in known:
+                if (ids := older.get(c)) is not None:
+                    known[c] = ids
+                else:
+                    new.append(c)
         if new:
-            known.update(self._encoded(new))
+            stems = {c: c if c.isalpha() else c[:-1] for c in new if c.isalpha() or c[-1] in MARKS and c[:-1].isalpha()}
+            words = self._words(list({s.lower() for s in stems.values()}))
+            marks = self._encoded([bytes([m]) for m in MARKS])
+            known.update((c, words[s.lower()] + marks[c[-1:]] if len(s) < len(c) else words[s.lower()]) for c, s in stems.items())
+            known.update(self._encoded([c for c in new if c not in stems]))
         return [b"".join(map(known.__getitem__, row)) for row in chunks]
 
+    def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Words of lower-case ASCII letters, many at a call; each ends with the only one of its tokens that ends a word."""
+        out, ends = {}, word_ends(self.path)
+        lists = [words[i : i + 1000] for i in range(0, len(words), 1000)]
+        for part, e in zip(lists, tokenizer(self.path).encode_batch_fast([b" ".join(x).decode() for x in lists], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            raw, stops = ids.tobytes(), (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
+            out.update((w, raw[a:b]) for w, a, b in zip(part, [0, *stops], stops, strict=False))
+            if len(stops) != len(part):
+                raise ValueError("this vocabulary doesn't end each word with a token of its own kind")
+        return out
+
     def _encoded(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         """Many chunks at a call, parted by a special token, at which the tokenizer parts texts before anything else."""
         own = tokenizer(self.path)
