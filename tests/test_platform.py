@@ -9,8 +9,8 @@ import yaml
 from pyspark.sql import functions as F
 
 from tidemark import queries
-from tidemark.entities import CUSTOMERS
-from tidemark.plans import silver
+from tidemark.entities import CUSTOMERS, ENTITIES
+from tidemark.plans import reconciliation, silver
 from tidemark.platform import errors, log
 from tidemark.platform.config import get_settings, merged, project_version, section
 from tidemark.platform.paths import Layout
@@ -134,3 +134,27 @@ def test_a_batch_reads_its_own_buckets_and_offsets(spark, data, tmp_path, monkey
     silver.process_batch(one, CUSTOMERS, tables)
     history, keyed = [x for x in opened if x[0] == "cdc_history"], [x for x in opened if x[0] in ("cdc_latest", "canonical")]
     assert history and all(parts <= 2 for _, parts, _ in history) and keyed and all(parts < total for _, parts, total in keyed)
+
+
+@pytest.mark.parametrize("spec", ENTITIES.values(), ids=ENTITIES)
+def test_the_jobs_of_an_environment(spark, data, tmp_path, monkeypatch, spec):
+    """Bronze from files, silver, and a reconciliation, each by its environment's settings and places."""
+    write(tmp_path)
+    monkeypatch.chdir(tmp_path)
+    layout, topic = Layout.of(get_settings()), get_settings().customer[spec.topic_setting]
+    queries.records(spark, data, queries.entity_json(spec)).withColumn("topic", F.lit(topic)).write.parquet(f"file://{tmp_path}/topic")
+    jobs.run_bronze(spec.name, files=f"file://{tmp_path}/topic")
+    jobs.run_silver(spec.name)
+    jobs.run_silver(spec.name)
+    key, events = queries.KEYS[spec.name], spark.read.parquet(f"{data}/events.parquet")
+    live = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY event_id DESC) AS place FROM {{events}}) WHERE place = 1 AND event_type <> 'error'"
+    rows = spark.sql(live, events=events).count()
+    of = {"domain": jobs.DOMAIN, "entity": spec.name}
+    assert spark.read.parquet(layout.at("bronze_job", **of)).count() == events.count()
+    tables = silver.SilverTables.at(spark, lambda name: layout.at("silver_job", dataset=name, **of), spec.key)
+    assert tables.history.read().count() == events.count() and tables.canonical.read().count() == rows
+    queries.write_snapshot(spark, data, spec, live, layout.at("snapshot_file", domain=spec.snapshot_folder, cutoff=queries.CUTOFF))
+    done = reconciliation.run(spec, queries.CUTOFF)
+    assert (done["snapshot_row_count"], done["cdc_row_count"], done["exception_count"], done["overall_status"]) == (rows, rows, 0, "SUCCESS")
+    again = reconciliation.run(spec, queries.CUTOFF)
+    assert again["matched_row_count"] == rows and again["reconciliation_run_id"] != done["reconciliation_run_id"]

@@ -568,19 +568,28 @@ def _entity_rows(spec: EntitySpec) -> dict[str, tuple[str, str]]:
     return {"consent_id": ("event_id",) * 2, "customer_id": ("user_id",) * 2, "consent_type": ("CASE WHEN event_id % 2 = 0 THEN 'EMAIL' ELSE 'SMS' END",) * 2, "granted": ("event_id % 3 = 0", "CASE WHEN event_id % 3 = 0 THEN 'true' ELSE 'F' END"), "created_at": when, "updated_at": when}
 
 
-def entity_events(spark: SparkSession, d: str, spec: EntitySpec) -> DataFrame:
+def entity_json(spec: EntitySpec) -> str:
     row = ", ".join(f"'{c}', {x}" for c, (x, _) in _entity_rows(spec).items())
-    json = f"to_json(named_struct('payload', named_struct('before', if(event_type = 'error', named_struct({row}), NULL), 'after', if(event_type <> 'error', named_struct({row}), NULL), 'source', named_struct('lsn', event_id, 'ts_ms', 1700000000000 + event_id * 1000), 'op', {OP}, 'ts_ms', 1700000000000)))"
-    return silver.events(change_log.bronze_columns(records(spark, d, json)), spec)
+    return f"to_json(named_struct('payload', named_struct('before', if(event_type = 'error', named_struct({row}), NULL), 'after', if(event_type <> 'error', named_struct({row}), NULL), 'source', named_struct('lsn', event_id, 'ts_ms', 1700000000000 + event_id * 1000), 'op', {OP}, 'ts_ms', 1700000000000)))"
 
 
-def entity_snapshot(spark: SparkSession, d: str, spec: EntitySpec, rows: str, **over: str) -> DataFrame:
-    """The rows of this SQL over ``events`` written as a snapshot file and loaded as a job would; over: columns with other SQL."""
-    path, events = workspace.folder(spark), spark.read.parquet(f"{d}/events.parquet")
+def entity_events(spark: SparkSession, d: str, spec: EntitySpec) -> DataFrame:
+    return silver.events(change_log.bronze_columns(records(spark, d, entity_json(spec))), spec)
+
+
+def write_snapshot(spark: SparkSession, d: str, spec: EntitySpec, rows: str, path: str, **over: str) -> None:
+    """The rows of this SQL over ``events`` as a snapshot file; over: columns with other SQL."""
+    events = spark.read.parquet(f"{d}/events.parquet")
     found = rows.format(events="{events}")
     columns = [f"{over.get(c, _entity_rows(spec)[c][1])} AS {c}" for c in spec.snapshot_schema.names]
     text = spark.sql(found, events=events).selectExpr(*columns)
     text.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def entity_snapshot(spark: SparkSession, d: str, spec: EntitySpec, rows: str, **over: str) -> DataFrame:
+    """Such a file, loaded as a job would."""
+    path = workspace.folder(spark)
+    write_snapshot(spark, d, spec, rows, path, **over)
     return snapshots.load(spark, path, spec)
 
 
