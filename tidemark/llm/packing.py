@@ -14,6 +14,7 @@ column of the result is an error.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,13 +37,13 @@ FAN_IN = 16
 #: Items that one task packs at a time.
 GROUP = 200_000
 #: Chunks of text whose ids a worker remembers.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 PLACES = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-#: Marks that are a word of their own after letters.
-MARKS = frozenset(b".,;:!?")
+#: In UTF-8: letters of ASCII and Latin-1, which are one word whatever their case and which no normaliser composes, and a mark after them, which is another.
+WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]?)")
 WORD_END = "</w>"
 
 
@@ -65,7 +66,7 @@ def word_ends(path: str) -> np.ndarray:
 
 class Ids:
     """Ids of texts as little-endian bytes. No token of this vocabulary spans white space and no normaliser acts across it, so each chunk between ASCII
-    white space is encoded by itself and remembered; chunks seen lately outlive a full memory. ASCII letters, in any case, are one word, and a mark after them is another."""
+    white space is encoded by itself and remembered; chunks seen lately outlive a full memory."""
 
     def __init__(self, path: str):
         self.path, self.known, self.older = path, {}, {}
@@ -75,22 +76,21 @@ class Ids:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         known, older, new = self.known, self.older, []
-        for c in set().union(*chunks):
-            if c not in known:
-                if (ids := older.get(c)) is not None:
-                    known[c] = ids
-                else:
-                    new.append(c)
+        for c in set().union(*chunks).difference(known):
+            if (ids := older.get(c)) is not None:
+                known[c] = ids
+            else:
+                new.append(c)
         if new:
-            stems = {c: c if c.isalpha() else c[:-1] for c in new if c.isalpha() or c[-1] in MARKS and c[:-1].isalpha()}
-            words = self._words(list({s.lower() for s in stems.values()}))
-            marks = self._encoded([bytes([m]) for m in MARKS])
-            known.update((c, words[s.lower()] + marks[c[-1:]] if len(s) < len(c) else words[s.lower()]) for c, s in stems.items())
-            known.update(self._encoded([c for c in new if c not in stems]))
+            found = [(c, m[1].lower(), m[2]) for c in new if (m := WORD.fullmatch(c))]
+            words = self._words(list({w for _, w, _ in found}))
+            marks = self._encoded(list({m for _, _, m in found if m})) | {b"": b""}
+            known.update((c, words[w] + marks[m]) for c, w, m in found)
+            known.update(self._encoded([c for c in new if c not in known]))
         return [b"".join(map(known.__getitem__, row)) for row in chunks]
 
     def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Words of lower-case ASCII letters, many at a call; each ends with the only one of its tokens that ends a word."""
+        """Words of such letters, many at a call; each ends with the only one of its tokens that ends a word."""
         out, ends = {}, word_ends(self.path)
         lists = [words[i : i + 1000] for i in range(0, len(words), 1000)]
         for part, e in zip(lists, tokenizer(self.path).encode_batch_fast([b" ".join(x).decode() for x in lists], add_special_tokens=False), strict=True):
