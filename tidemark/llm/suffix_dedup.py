@@ -306,31 +306,32 @@ def _factors(ranges: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, from, to): string starts, from to before to, that are later copies. docs: id, raw; an id has one text."""
-    often = _pieces(docs).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # aggregates are written before they are joined: a join of two plain shuffles is one whose hot keys adaptive execution can split
+    often = scratch.cut(_pieces(docs).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
     every = scratch.cut(_light(docs).join(often, "hash", "left_semi"))
     first = F.min(F.struct("id", "packed")).alias("first")
     firsts = scratch.cut(every.groupBy("hash", "bytes").agg(first, F.count("*").alias("n")).select("hash", "bytes", F.col("first.id").alias("f_id"), F.col("first.packed").alias("f_packed"), "n"))
     start = F.shiftright("packed", 16)
     copies = every.join(firsts.where("n > 1"), ["hash", "bytes"]).where("id <> f_id OR packed <> f_packed").select("id", start.alias("from"), (start + F.shiftright("packed", 8).bitwiseAND(255)).alias("to"))
     found = [scratch.cut(copies)]
-    scratch.drop(every)
-    several = firsts.groupBy("hash").agg(F.count("*").alias("g")).where("g > 1").select("hash")
+    scratch.drop(often, every)
+    several = scratch.cut(firsts.groupBy("hash").agg(F.count("*").alias("g")).where("g > 1").select("hash"))
     wanted = firsts.join(several, "hash", "left_semi").select(F.col("f_id").alias("id"), F.col("f_packed").alias("packed"))
     texts = scratch.cut(_read(docs, wanted))
-    scratch.drop(firsts)
+    scratch.drop(several, firsts)
     cut = _blocks(texts)
-    common = cut.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    common = scratch.cut(cut.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"))
     near = scratch.cut(cut.join(common, "core", "left_semi"))
     first = F.min(F.struct("id", "place")).alias("first")
     firsts = scratch.cut(near.groupBy("core", "whole").agg(first, F.count("*").alias("n")).select("core", "whole", F.col("first.id").alias("f_id"), F.col("first.place").alias("f_place"), "n"))
     start = F.shiftright("place", 32) + F.shiftright("place", 8).bitwiseAND(255)
     equal = near.join(firsts.where("n > 1"), ["core", "whole"]).where("id <> f_id OR place <> f_place").select("id", start.alias("from"), (start + F.col("place").bitwiseAND(255)).alias("to"))
     found.append(scratch.cut(equal))
-    scratch.drop(near)
-    several = firsts.groupBy("core").agg(F.count("*").alias("g")).where("g > 1").select("core")
+    scratch.drop(common, near)
+    several = scratch.cut(firsts.groupBy("core").agg(F.count("*").alias("g")).where("g > 1").select("core"))
     left = firsts.join(several, "core", "left_semi").select(F.col("f_id").alias("id"), F.col("f_place").alias("place"))
     strings = scratch.cut(_strings(texts, left))
-    scratch.drop(texts, firsts)
+    scratch.drop(texts, firsts, several)
     found.append(strings.where("string IS NULL").select("id", F.col("start").alias("from"), F.col("stop").alias("to")))
     found.append(scratch.cut(_factors(strings.where("string IS NOT NULL").repartitionByRange("string").sortWithinPartitions("string", "id", "start"))))
     return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
