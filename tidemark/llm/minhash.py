@@ -189,20 +189,21 @@ def _shingles(full: DataFrame) -> DataFrame:
 def _unsettled(full: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that the prefix filter cannot rule out. full has a component for each node."""
     each = _shingles(full)
-    common = each.groupBy("h").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h", "c")
+    common = scratch.cut(each.groupBy("h").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h", "c"))
     by_rarity = Window.partitionBy("node").orderBy("c", "h")
     ranked = each.join(common, "h", "left").withColumn("c", F.coalesce("c", F.lit(0))).withColumn("place", F.row_number().over(by_rarity) - 1)
     prefix = scratch.cut(ranked.where(f"c > 0 AND 100 * place <= {100 - percent} * n").select("node", "n", "component", "h", "place"))
     # a shingle's largest component is held against the others' documents only
     sizes = prefix.groupBy("h", "component").agg(F.count("*").alias("m"))
     mains = sizes.groupBy("h").agg(F.max(F.struct("m", "component")).alias("main"), F.count("*").alias("c")).where("c > 1").select("h", F.col("main.component").alias("main"))
-    outside = prefix.join(mains, "h").where("component <> main")
+    mains = scratch.cut(mains)
+    outside = scratch.cut(prefix.join(mains, "h").where("component <> main"))
     other = prefix.select("h", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "component", "place")))
     needed = f"(({percent} * (n + y_n) + {99 + percent}) div {100 + percent})"
     able = f"component <> y_component AND (y_component = main OR node < y_node) AND place <= n - {needed} AND y_place <= y_n - {needed} AND 100 * least(n, y_n) >= {percent} * greatest(n, y_n)"
     pairs = outside.join(other, "h").where(able).select(F.least("node", "y_node").alias("a"), F.greatest("node", "y_node").alias("b")).distinct()
     out = scratch.cut(pairs)
-    scratch.drop(prefix)
+    scratch.drop(common, prefix, mains, outside)
     return out
 
 
@@ -214,19 +215,22 @@ def near_duplicates(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     equal = signed.where("sig IS NOT NULL AND id IS NOT NULL").groupBy("n", "sum", "xor", "sig").agg(F.min("id").alias("id"))
     sets = scratch.cut(equal.withColumn("node", F.monotonically_increasing_id()))
     keys = _keys(sets, percent)
-    often = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    # aggregates are written before they are joined: a join of two plain shuffles is one whose hot keys adaptive execution can split
+    often = scratch.cut(keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
     shared = scratch.cut(keys.join(often, "key"))
+    scratch.drop(often)
     weights = shared.groupBy("node").agg(F.sum("c").alias("weight"))
     full = scratch.cut(_full(docs, sets.join(weights.select("node"), "node", "left_semi"), words))
     weighed = shared.join(weights, "node")
-    hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("hub")).select("key", "hub.node").withColumnRenamed("node", "hub")
+    hubs = scratch.cut(weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("hub")).select("key", F.col("hub.node").alias("hub")))
     first = shared.join(hubs, "key").where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = _confirmed(first, full, scratch, percent)
     found = scratch.cut(components(links, scratch))
     placed = shared.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    unsettled = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    placed = scratch.cut(placed)
+    unsettled = scratch.cut(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"))
     left = scratch.cut(placed.join(unsettled, "key", "left_semi").select("node", "component").distinct())
-    scratch.drop(shared)
+    scratch.drop(shared, hubs, placed, unsettled)
     pairs = _unsettled(full.join(left, "node"), scratch, percent)
     more = _confirmed(pairs, full, scratch, percent)
     joined = scratch.cut(components(links.unionByName(more), scratch))
