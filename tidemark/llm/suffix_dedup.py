@@ -38,8 +38,8 @@ LENGTH = 100
 GRAM = 24
 #: Starts of a block.
 BLOCK = 4
-#: Bytes of text that are hashed at a time, and strings that a task puts in order at a time.
-BUFFER, CHUNK = 1 << 20, 1 << 17
+#: Bytes of text that are hashed at a time (so few that the arrays stay in a processor's cache), and strings that a task puts in order at a time.
+BUFFER, CHUNK = 1 << 17, 1 << 17
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -58,7 +58,7 @@ def piece_hashes(buffer: bytes) -> np.ndarray:
     return mix(h)
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2**64."""
     base, out = 0x9E3779B97F4A7C15, []
