@@ -17,9 +17,10 @@ import base64
 import codecs
 import hashlib
 import os
+from collections.abc import Iterator
 from functools import lru_cache
-from typing import NamedTuple
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import map_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Words whose ids a worker keeps, and the longest that it keeps, in characters; others are encoded each time.
-REMEMBERED, KEPT_LENGTH = 100_000, 64
+#: Matches whose ids a worker keeps, and the longest that it keeps, in characters; others are encoded each time.
+REMEMBERED, KEPT_LENGTH = 400_000, 64
 
 
 @lru_cache(maxsize=1)
@@ -64,17 +65,6 @@ def merges(ranks: dict[bytes, int]) -> list[tuple[str, str]]:
     return out
 
 
-class Word(NamedTuple):
-    """Ids of a match, the bytes of each, and the character that each starts in."""
-
-    ids: tuple[int, ...]
-    sizes: tuple[int, ...]
-    characters: tuple[int, ...]
-    #: The ids in decimal, and what they decode to.
-    written: str
-    decoded: bytes
-
-
 class Codec:
     def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -86,35 +76,50 @@ class Codec:
         self.library = Tokenizer(models.BPE(vocab=vocabulary, merges=merges(ranks), ignore_merges=True))
         self.library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)
         self.tokens = {rank: from_visible(token) for token, rank in vocabulary.items()}
-        self.pattern, self.known = regex.compile(pattern), {}
-
-    def words(self, texts: list[str]) -> list[list[Word]]:
-        """The encoded matches of each text."""
+        self.decimal = {rank: str(rank) for rank in self.tokens}
+        self.pattern, self.known, self.decoded = regex.compile(pattern), {}, {}
+
+    def _encoded(self, words: list[str]) -> Iterator[tuple[list[int], list[tuple[int, int]], list[tuple[int, int]]]]:
+        """By up to 1000 matches at a call: their ids, the ids' offsets, each in its own match, and from where to where each match's ids go."""
+        for at in range(0, len(words), 1000):
+            e = self.library.encode_batch([words[at : at + 1000]], is_pretokenized=True, add_special_tokens=False)[0]
+            ids = e.ids
+            starts = [0, *(np.flatnonzero(np.diff(np.array(e.word_ids))) + 1).tolist(), len(ids)]
+            yield ids, e.offsets, list(zip(starts, starts[1:], strict=False))
+
+    def written(self, texts: list[str]) -> list[tuple[str, bytes]]:
+        """For each text its ids in decimal, joined by commas, and what they decode to. Both are remembered by match."""
         found = [self.pattern.findall(x) for x in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list({w for words in found for w in words} - self.known.keys())
-        fresh = {w: self._word(e) for i in range(0, len(new), 1000) for w, e in zip(new[i : i + 1000], self.library.encode_batch(new[i : i + 1000], add_special_tokens=False), strict=True)}
-        out = [[self.known.get(w) or fresh[w] for w in words] for words in found]
-        self.known.update((w, x) for w, x in fresh.items() if len(w) <= KEPT_LENGTH)
+            self.decoded.clear()
+        new = list(set().union(*found).difference(self.known))
+        at = 0
+        for ids, _, ranges in self._encoded(new):
+            part = new[at : at + len(ranges)]
+            decimals, raw = list(map(self.decimal.__getitem__, ids)), list(map(self.tokens.__getitem__, ids))
+            self.known.update(zip(part, [decimals[a] if b - a == 1 else ",".join(decimals[a:b]) for a, b in ranges], strict=True))
+            self.decoded.update(zip(part, [raw[a] if b - a == 1 else b"".join(raw[a:b]) for a, b in ranges], strict=True))
+            at += len(part)
+        out = [(",".join(map(self.known.__getitem__, words)), b"".join(map(self.decoded.__getitem__, words))) for words in found]
+        for w in new:
+            if len(w) > KEPT_LENGTH:
+                del self.known[w], self.decoded[w]
         return out
 
-    def _word(self, encoding) -> Word:
-        ids = encoding.ids
-        parts = [self.tokens[i] for i in ids]
-        return Word(tuple(ids), tuple(map(len, parts)), tuple(a for a, _ in encoding.offsets), ",".join(map(str, ids)), b"".join(parts))
-
     def encode(self, text: str) -> tuple[list[int], list[int], list[int]]:
         """Ids, and the byte and the character at which each starts."""
-        ids, starts, characters, byte = [], [], [], 0
-        places = (m.start() for m in self.pattern.finditer(text))
-        for word, at in zip(self.words([text])[0], places, strict=True):
-            ids += word.ids
-            for size, character in zip(word.sizes, word.characters, strict=True):
-                starts.append(byte)
-                characters.append(at + character)
-                byte += size
-        return ids, starts, characters
+        matches = [(m[0], m.start()) for m in self.pattern.finditer(text)]
+        ids: list[int] = []
+        characters: list[int] = []
+        at = 0
+        for part, offsets, ranges in self._encoded([w for w, _ in matches]):
+            ids += part
+            for (_, start), (a, b) in zip(matches[at : at + 1000], ranges, strict=True):
+                characters += [start + offsets[k][0] for k in range(a, b)]
+            at += 1000
+        sizes = [len(self.tokens[i]) for i in ids]
+        return ids, [0, *np.cumsum(sizes).tolist()][: len(ids)], characters
 
     def decode(self, ids: list[int], errors: str = "strict") -> bytes:
         if errors == "ignore":
@@ -170,10 +175,9 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
         own, texts = codec(path, pattern), [x.as_py() or "" for x in batch.column(1)]
         counts, id_hashes, text_hashes, same = [], [], [], []
         for at in range(0, len(texts), 64):
-            for text, words in zip(texts[at : at + 64], own.words(texts[at : at + 64]), strict=True):
-                back = b"".join([w.decoded for w in words])
-                counts.append(sum([len(w.ids) for w in words]))
-                id_hashes.append(hashlib.sha256(",".join([w.written for w in words]).encode()).hexdigest())
+            for text, (decimals, back) in zip(texts[at : at + 64], own.written(texts[at : at + 64]), strict=True):
+                counts.append(decimals.count(",") + bool(decimals))
+                id_hashes.append(hashlib.sha256(decimals.encode()).hexdigest())
                 text_hashes.append(hashlib.sha256(back).hexdigest())
                 same.append(back == text.encode())
         return pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()), pa.array(text_hashes, pa.string()), pa.array(same, pa.bool_())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "same"])
