@@ -42,8 +42,10 @@ SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 PLACES = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-#: In UTF-8: letters of ASCII and Latin-1, which are one word whatever their case and which no normaliser composes, and a mark after them, which is another.
-WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]?)")
+#: In UTF-8: letters of ASCII and Latin-1, which are one word whatever their case and which no normaliser composes, and runs of ASCII marks but apostrophes before and after them,
+#: which are a word each.
+MARKS = rb"""([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)"""
+WORD = re.compile(MARKS + rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)" + MARKS)
 WORD_END = "</w>"
 
 
@@ -77,15 +79,15 @@ class Ids:
             self.known, self.older = {}, self.known
         known, older, new = self.known, self.older, []
         for c in set().union(*chunks).difference(known):
-            if (ids := older.get(c)) is not None:
-                known[c] = ids
+            if c in older:
+                known[c] = older[c]
             else:
                 new.append(c)
         if new:
-            found = [(c, m[1].lower(), m[2]) for c in new if (m := WORD.fullmatch(c))]
-            words = self._words(list({w for _, w, _ in found}))
-            marks = self._encoded(list({m for _, _, m in found if m})) | {b"": b""}
-            known.update((c, words[w] + marks[m]) for c, w, m in found)
+            found = [(c, m[1], m[2].lower(), m[3]) for c in new if (m := WORD.fullmatch(c))]
+            words = self._words(list({w for _, _, w, _ in found}))
+            marks = self._encoded(list({m for _, a, _, b in found for m in (a, b) if m})) | {b"": b""}
+            known.update([(c, marks[a] + words[w] + marks[b]) for c, a, w, b in found])
             known.update(self._encoded([c for c in new if c not in known]))
         return [b"".join(map(known.__getitem__, row)) for row in chunks]
 
