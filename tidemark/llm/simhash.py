@@ -87,7 +87,8 @@ def near_fingerprints(queries: DataFrame, prints: DataFrame, scratch: Scratch, r
         looked = looked.select("a_high", "a_low", F.col("u").bitwiseXOR(F.col("m.u")).alias("u"), F.col("v").bitwiseXOR(F.col("m.v")).alias("v"))
         table = single.select(F.col("high").alias("b_high"), F.col("low").alias("b_low"), u.alias("u"), v.alias("v"))
         away = distance(F.col("a_high"), F.col("a_low"), F.col("b_high"), F.col("b_low"))
-        found.append(scratch.cut(looked.join(table, ["u", "v"]).where(away.between(1, radius) & ~earlier).select("a_high", "a_low", "b_high", "b_low", away.alias("distance"))))
+        # Spark takes the exploded side for as small as its source and would broadcast it
+        found.append(scratch.cut(looked.hint("merge").join(table, ["u", "v"]).where(away.between(1, radius) & ~earlier).select("a_high", "a_low", "b_high", "b_low", away.alias("distance"))))
         apart = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(values(block, "a_"), values(block, "b_"), strict=True)), F.lit(0))
         earlier = earlier | (apart <= flips)
     scratch.drop(single, asked)
