@@ -306,9 +306,10 @@ def _factors(ranges: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, from, to): string starts, from to before to, that are later copies. docs: id, raw; an id has one text."""
-    # aggregates are written before they are joined: a join of two plain shuffles is one whose hot keys adaptive execution can split
+    # aggregates are written before they are joined: a join of two plain shuffles is one whose hot keys adaptive execution can split. The hint: Spark takes what a map
+    # gives for as small as its source, and would broadcast it
     often = scratch.cut(_pieces(docs).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
-    every = scratch.cut(_light(docs).join(often, "hash", "left_semi"))
+    every = scratch.cut(_light(docs).hint("merge").join(often, "hash", "left_semi"))
     first = F.min(F.struct("id", "packed")).alias("first")
     firsts = scratch.cut(every.groupBy("hash", "bytes").agg(first, F.count("*").alias("n")).select("hash", "bytes", F.col("first.id").alias("f_id"), F.col("first.packed").alias("f_packed"), "n"))
     start = F.shiftright("packed", 16)
@@ -321,7 +322,7 @@ def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     scratch.drop(several, firsts)
     cut = _blocks(texts)
     common = scratch.cut(cut.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"))
-    near = scratch.cut(cut.join(common, "core", "left_semi"))
+    near = scratch.cut(cut.hint("merge").join(common, "core", "left_semi"))
     first = F.min(F.struct("id", "place")).alias("first")
     firsts = scratch.cut(near.groupBy("core", "whole").agg(first, F.count("*").alias("n")).select("core", "whole", F.col("first.id").alias("f_id"), F.col("first.place").alias("f_place"), "n"))
     start = F.shiftright("place", 32) + F.shiftright("place", 8).bitwiseAND(255)
