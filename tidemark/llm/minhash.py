@@ -191,7 +191,7 @@ def _unsettled(full: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     each = _shingles(full)
     common = scratch.cut(each.groupBy("h").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h", "c"))
     by_rarity = Window.partitionBy("node").orderBy("c", "h")
-    ranked = each.join(common, "h", "left").withColumn("c", F.coalesce("c", F.lit(0))).withColumn("place", F.row_number().over(by_rarity) - 1)
+    ranked = each.hint("merge").join(common, "h", "left").withColumn("c", F.coalesce("c", F.lit(0))).withColumn("place", F.row_number().over(by_rarity) - 1)
     prefix = scratch.cut(ranked.where(f"c > 0 AND 100 * place <= {100 - percent} * n").select("node", "n", "component", "h", "place"))
     # a shingle's largest component is held against the others' documents only
     sizes = prefix.groupBy("h", "component").agg(F.count("*").alias("m"))
@@ -215,9 +215,10 @@ def near_duplicates(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     equal = signed.where("sig IS NOT NULL AND id IS NOT NULL").groupBy("n", "sum", "xor", "sig").agg(F.min("id").alias("id"))
     sets = scratch.cut(equal.withColumn("node", F.monotonically_increasing_id()))
     keys = _keys(sets, percent)
-    # aggregates are written before they are joined: a join of two plain shuffles is one whose hot keys adaptive execution can split
+    # aggregates are written before they are joined: a join of two plain shuffles is one whose hot keys adaptive execution can split. The hint: Spark takes what a map
+    # gives for as small as its source, and would broadcast the keys of a table of a few MB
     often = scratch.cut(keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
-    shared = scratch.cut(keys.join(often, "key"))
+    shared = scratch.cut(keys.hint("merge").join(often, "key"))
     scratch.drop(often)
     weights = shared.groupBy("node").agg(F.sum("c").alias("weight"))
     full = scratch.cut(_full(docs, sets.join(weights.select("node"), "node", "left_semi"), words))
