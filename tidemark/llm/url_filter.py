@@ -85,7 +85,7 @@ def word_counts(pages: DataFrame, judged: DataFrame, scratch: Scratch, text_col:
     words = F.explode(F.split(F.lower(F.regexp_replace(F.col(text_col), r"<[^>]*>", " ")), r"\P{L}+"))
     table = scratch.cut(pages.where(F.col(text_col).isNotNull()).select(words.alias("w")).where(F.col("w").rlike("^[a-z]+$")).groupBy("w").agg(F.count("*").alias("n")))
     total, longest = table.agg(F.sum("n"), F.max(F.length("w"))).first()
-    found = table.join(_pieces(judged, longest or 1), "w", "left_semi").select("w", "n").toArrow()
+    found = table.join(_pieces(judged, longest or 1).hint("merge"), "w", "left_semi").select("w", "n").toArrow()
     scratch.drop(table)
     return dict(zip(found.column("w").to_pylist(), found.column("n").to_pylist(), strict=True)), total or 0
 
