@@ -133,8 +133,8 @@ def pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows: list[tuple[int, int, int, int, int]] = []
         texts = [x.as_py() or "" for x in batch.column(1)]
-        for at in range(0, len(texts), 256):
-            for i, raw in enumerate(ids(path).of(texts[at : at + 256])):
+        for at in range(0, len(texts), 64):
+            for i, raw in enumerate(ids(path).of(texts[at : at + 64])):
                 raw = memoryview(raw + closing)
                 rows += [(at + i, k, b // 4, len(part := raw[b : b + 4 * capacity]) // 4, zlib.crc32(part)) for k, b in enumerate(range(0, len(raw), 4 * capacity))]
         row, piece, start, length, crc = map(list, zip(*rows, strict=True))
