@@ -38,6 +38,8 @@ FAN_IN = 16
 GROUP = 200_000
 #: Chunks of text whose ids a worker remembers.
 REMEMBERED = 300_000
+#: What the special tokens' strings begin with; chunks that hold it are encoded singly.
+SPECIAL = b"<|"
 SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 PLACES = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
@@ -84,7 +86,7 @@ class Ids:
             else:
                 new.append(c)
         if new:
-            found = [(c, m[1], m[2].lower(), m[3]) for c in new if (m := WORD.fullmatch(c))]
+            found = [(c, m[1], m[2].lower(), m[3]) for c in new if SPECIAL not in c and (m := WORD.fullmatch(c))]
             words = self._words(list({w for _, _, w, _ in found}))
             marks = self._encoded(list({m for _, a, _, b in found for m in (a, b) if m})) | {b"": b""}
             known.update([(c, marks[a] + words[w] + marks[b]) for c, a, w, b in found])
@@ -106,7 +108,7 @@ class Ids:
     def _encoded(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         """Many chunks at a call, parted by a special token, at which the tokenizer parts texts before anything else."""
         own = tokenizer(self.path)
-        plain, out = [c for c in chunks if b"<|" not in c], {}
+        plain, out = [c for c in chunks if SPECIAL not in c], {}
         lists = [plain[i : i + 1000] for i in range(0, len(plain), 1000)]
         for part, e in zip(lists, own.encode_batch_fast([SEPARATOR.join(c.decode() for c in part) for part in lists], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<u4")
