@@ -220,6 +220,22 @@ def test_packing(spark, docs, texts, capacity):
     assert len(bins) <= 1.15 * math.ceil(sum(w[3] for w in want) / capacity) + 1
 
 
+ODD = ["a", "B", "word", "É", "ß", "ñ", "'s", "'", "don't", ".", "###", "<", "|", ">", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "12", " ", "  ", "\n", "\t", "\x1c", "\x85", "\u00a0", "文", "İ", "Σ", "ς", "J\u030c", "×", "÷", "_", "\\", "e\u0301", "\u0301", "😀"]
+
+
+def test_ids_of_odd_strings():
+    """Both tokenizers' remembered parts against the libraries over whole texts."""
+    rng = random.Random(5)
+    made = ["".join(rng.choices(ODD, k=rng.randint(1, 14))) for _ in range(4000)]
+    own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    known = packing.Ids(public_tokenizers.path(packing.VOCABULARY))
+    assert all(np.frombuffer(raw, "<u4").tolist() == own.encode(t, add_special_tokens=False).ids for t, raw in zip(made, known.of(made), strict=True))
+    ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    enc = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec = byte_bpe.codec(public_tokenizers.path(byte_bpe.VOCABULARY), public_tokenizers.PATTERN)
+    assert all((x, y) == (",".join(map(str, enc.encode_ordinary(t))), t.encode()) for t, (x, y) in zip(made, codec.written(made), strict=True))
+
+
 def test_best_fit_takes_the_tightest_room():
     which, offset, fill = packing.best_fit(np.array([6, 5, 4, 3, 2]), 10)
     assert fill.tolist() == [10, 10] and which.tolist() == [0, 1, 0, 1, 1] and offset.tolist() == [0, 0, 6, 5, 8]
