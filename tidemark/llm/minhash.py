@@ -237,8 +237,8 @@ def near_duplicates(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     joined = scratch.cut(components(links.unionByName(more), scratch))
     scratch.drop(full, links, found, left, pairs, more)
     classes = sets.join(joined, "node", "left").select("n", "sum", "xor", "id", F.coalesce("component", "node").alias("component"))
-    least = classes.groupBy("component").agg(F.min("id").alias("component_id"))
+    least = scratch.cut(classes.groupBy("component").agg(F.min("id").alias("component_id")))
     named = scratch.cut(classes.join(least, "component").select("n", "sum", "xor", "component_id"))
-    scratch.drop(sets, joined)
+    scratch.drop(sets, joined, least)
     out = signed.select("id", "n", "sum", "xor").join(named, ["n", "sum", "xor"], "left").withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
