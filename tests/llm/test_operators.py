@@ -11,6 +11,8 @@ import re
 import zlib
 from collections import defaultdict
 from itertools import combinations
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers
@@ -97,6 +99,12 @@ def test_suffix_dedup(spark, docs, texts):
     assert got[9]["kept"] == "" and all(r["kept"].encode().decode() is not None for r in got.values())
 
 
+def test_scratch_tables_have_no_checksum_files(spark):
+    kept = Scratch(spark).cut(spark.range(10).repartition(3))
+    folder = urlparse(kept.inputFiles()[0]).path.rsplit("/", 1)[0]
+    assert kept.count() == 10 and not list(Path(folder).glob(".*part*.crc"))
+
+
 def test_longest_previous_factor():
     rng = random.Random(2)
     text = "".join(rng.choices("ab", k=60))

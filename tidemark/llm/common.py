@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 BYTES, DEFAULT_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "1m"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Without Hadoop's native library a JVM starts a ``chmod`` for each local file and each checksum file it makes, and until that has begun it counts as a second process with all
+#: of the JVM's memory. Scratch tables on local disks have no checksum files.
+LOCAL = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 _left: list[tuple[SparkSession, str]] = []
 _own: list[str] = []
 
@@ -35,9 +38,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _own[0]
 
 
+def _file_system(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def _delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _file_system(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
 @atexit.register
@@ -65,7 +71,7 @@ class Scratch:
         before = self.spark.conf.get(CLEANUP, "false")
         self.spark.conf.set(CLEANUP, "true")
         try:
-            df.write.option("compression", "zstd").parquet(path)
+            df.write.options(compression="zstd", **(LOCAL if _file_system(self.spark, path).getScheme() == "file" else {})).parquet(path)
         finally:
             self.spark.conf.set(CLEANUP, before)
         _left.append((self.spark, path))
