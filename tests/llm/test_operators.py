@@ -231,6 +231,15 @@ def test_packing(spark, docs, texts, capacity):
 ODD = ["a", "B", "word", "É", "ß", "ñ", "'s", "'", "don't", ".", "###", "<", "|", ">", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "12", " ", "  ", "\n", "\t", "\x1c", "\x85", "\u00a0", "文", "İ", "Σ", "ς", "J\u030c", "×", "÷", "_", "\\", "e\u0301", "\u0301", "😀"]
 
 
+def test_a_word_is_encoded_once_whatever_its_case_and_marks(monkeypatch):
+    asked, own = [], packing.Ids._words
+    monkeypatch.setattr(packing.Ids, "_words", lambda self, words: asked.extend(words) or own(self, words))
+    whole, known = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), packing.Ids(public_tokenizers.path(packing.VOCABULARY))
+    for text in ("Thoning,", "thoning", "THONING (thoning) señor", "Señor SEÑOR!"):
+        assert np.frombuffer(known.of([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert asked.count(b"thoning") == 1
+
+
 def test_ids_of_odd_strings():
     """Both tokenizers' remembered parts against the libraries over whole texts."""
     rng = random.Random(5)

@@ -59,6 +59,16 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=4)
+def plain_words(path: str, ascii_only: bool):
+    """The same model for lower-case words between spaces, without the normalisers and the pattern, which leave such words as they are."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    out, spaces = Tokenizer(tokenizer(path).model), pre_tokenizers.WhitespaceSplit()
+    out.pre_tokenizer = spaces if ascii_only else pre_tokenizers.Sequence([spaces, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return out
+
+
 @lru_cache(maxsize=2)
 def word_ends(path: str) -> np.ndarray:
     """By id, whether the token ends a word."""
@@ -86,23 +96,30 @@ class Ids:
             else:
                 new.append(c)
         if new:
-            found = [(c, m[1], m[2].lower(), m[3]) for c in new if SPECIAL not in c and (m := WORD.fullmatch(c))]
-            words = self._words(list({w for _, _, w, _ in found}))
+            bare = [c for c in new if c.isalpha()]  # of ASCII's letters alone
+            found = [(c, m[1], m[2].lower(), m[3]) for c in new if not c.isalpha() and SPECIAL not in c and (m := WORD.fullmatch(c))]
+            lower = [c.lower() for c in bare]
+            wanted = {w for _, _, w, _ in found}.union(lower).difference(known)
+            known.update([(w, older[w]) for w in wanted if w in older])
+            known.update(self._words([w for w in wanted if w not in older]))
+            known.update(zip(bare, map(known.__getitem__, lower), strict=True))
             marks = self._encoded(list({m for _, a, _, b in found for m in (a, b) if m})) | {b"": b""}
-            known.update([(c, marks[a] + words[w] + marks[b]) for c, a, w, b in found])
+            known.update([(c, marks[a] + known[w] + marks[b]) for c, a, w, b in found])
             known.update(self._encoded([c for c in new if c not in known]))
         return [b"".join(map(known.__getitem__, row)) for row in chunks]
 
     def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Words of such letters, many at a call; each ends with the only one of its tokens that ends a word."""
+        """Words of such letters, ASCII's in lower case, many at a call; each ends with the only one of its tokens that ends a word."""
         out, ends = {}, word_ends(self.path)
-        lists = [words[i : i + 1000] for i in range(0, len(words), 1000)]
-        for part, e in zip(lists, tokenizer(self.path).encode_batch_fast([b" ".join(x).decode() for x in lists], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            raw, stops = ids.tobytes(), (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
-            out.update((w, raw[a:b]) for w, a, b in zip(part, [0, *stops], stops, strict=False))
-            if len(stops) != len(part):
-                raise ValueError("this vocabulary doesn't end each word with a token of its own kind")
+        for ascii_only in (True, False):
+            own = [w for w in words if w.isascii() == ascii_only]
+            lists = [own[i : i + 1000] for i in range(0, len(own), 1000)]
+            for part, e in zip(lists, plain_words(self.path, ascii_only).encode_batch_fast([b" ".join(x).decode().lower() for x in lists], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                raw, stops = ids.tobytes(), (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
+                out.update((w, raw[a:b]) for w, a, b in zip(part, [0, *stops], stops, strict=False))
+                if len(stops) != len(part):
+                    raise ValueError("this vocabulary doesn't end each word with a token of its own kind")
         return out
 
     def _encoded(self, chunks: list[bytes]) -> dict[bytes, bytes]:
