@@ -125,6 +125,17 @@ def test_segments_of_long_texts_hold_every_start(monkeypatch):
     assert suffix_dedup.contexts(sample, True)[0].tolist() == suffix_dedup.contexts(sample)[1].tolist()
 
 
+def test_texts_are_hashed_by_the_size_of_a_cores_cache(monkeypatch):
+    sizes, own, rng = [], suffix_dedup.piece_hashes, random.Random(22)
+    monkeypatch.setattr(suffix_dedup, "piece_hashes", lambda raw: sizes.append(len(raw)) or own(raw))
+    suffix_dedup.contexts(["".join(rng.choices("abcd", k=n)).encode() for n in (200_000, *[30_000] * 9)])
+    assert sum(sizes) >= 470_000 and max(sizes) < 70_000
+    few = own(b"ab" * 200)
+    many = np.random.default_rng(1).integers(0, 1 << 63, 3000, np.uint64)
+    for h in (many, few, many[rng.choices(range(5), k=3000)], many[:77]):
+        assert suffix_dedup.leftmost_minimum(h, 77).tolist() == [i + int(h[i : i + 77].argmin()) for i in range(len(h) - 76)]
+
+
 def test_many_unlike_contexts_of_one_passage(spark):
     rng = random.Random(21)
     passage = prose(rng, 24)[:150]

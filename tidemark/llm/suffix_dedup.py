@@ -38,8 +38,8 @@ LENGTH = 100
 GRAM = 24
 #: Starts of a block.
 BLOCK = 4
-#: Bytes of text that are hashed at a time, and strings that a task puts in order at a time.
-BUFFER, CHUNK = 1 << 20, 1 << 17
+#: Bytes of text that are hashed at a time (few enough for a core's own cache), and strings that a task puts in order at a time.
+BUFFER, CHUNK = 1 << 16, 1 << 17
 _C = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -73,7 +73,7 @@ class Ranges:
     """Hashes of byte ranges of a buffer, from sums of its pieces' hashes times powers by position; ranges have at least GRAM bytes."""
 
     def __init__(self, h: np.ndarray):
-        size = 1 << max(16, int(len(h)).bit_length())
+        size = 1 << max(17, int(len(h)).bit_length())
         power, self.inverse = _powers(size)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[: len(h)], dtype=np.uint64)])
 
@@ -83,14 +83,16 @@ class Ranges:
 
 
 def leftmost_minimum(h: np.ndarray, wide: int) -> np.ndarray:
-    """For each position, where the smallest of the next ``wide`` values is, the leftmost if several are."""
-    value, at, size = h, np.arange(len(h), dtype=np.int32), 1
+    """For each position, where the smallest of the next ``wide`` values is, the leftmost if several are.
+
+    The position takes the place of a value's lowest bits, so that one minimum gives both; values that differ in those bits only count as equal, in equal strings alike."""
+    low = np.uint64((1 << max(0, len(h) - 1).bit_length()) - 1)
+    value, size = (h & ~low) | np.arange(len(h), dtype=np.uint64), 1
     while size < wide:
         step = min(size, wide - size)
-        right = value[step:] < value[:-step]
-        value, at = np.where(right, value[step:], value[:-step]), np.where(right, at[step:], at[:-step])
+        value = np.minimum(value[step:], value[:-step])
         size += step
-    return at
+    return (value & low).view(np.int64)
 
 
 def contexts(texts: list[bytes], only_pieces: bool = False) -> tuple[np.ndarray, ...]:
